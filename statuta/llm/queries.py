@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from . import mixing
+from .mixing import op2_source_mixing
 from .token_counts import op9_token_counts
 
-QUERIES = {"op9_token_counts": op9_token_counts}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
+    "op9_token_counts": op9_token_counts,
+}
+ORACLE_SQL: dict[str, str] = {"op2_source_mixing": mixing.ORACLE_SQL}
