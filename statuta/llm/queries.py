@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from . import mixing
 from .mixing import op2_source_mixing
+from .quality_cnn import op10_quality_classifier
 from .token_counts import op9_token_counts
 
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {"op2_source_mixing": mixing.ORACLE_SQL}
