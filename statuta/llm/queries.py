@@ -5,11 +5,13 @@ from __future__ import annotations
 from . import mixing
 from .mixing import op2_source_mixing
 from .ngram_join import op7_ngram_jaccard_join
+from .piece_lattice import op4_sentencepiece_sampling
 from .quality_cnn import op10_quality_classifier
 from .token_counts import op9_token_counts
 
 QUERIES = {
     "op2_source_mixing": op2_source_mixing,
+    "op4_sentencepiece_sampling": op4_sentencepiece_sampling,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
