@@ -51,6 +51,14 @@ def water_filling(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_
     return s.select("source", "source_size", F.when(F.col("clamped"), F.col("cap")).otherwise(free["level"] * F.col("w")).alias("target"))
 
 
+def _placed(docs: DataFrame, seed: int) -> DataFrame:
+    """docs with _size, and the document's place in its source's seeded order: _h and its two ranges _k1, _k2."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit("")))
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")  # 60 bits
+    d = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_h", h)
+    return d.withColumn("_k1", F.shiftright("_h", 52).cast("int")).withColumn("_k2", F.pmod(F.shiftright("_h", 44), F.lit(RANGES)).cast("int"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Rows (doc_id, size, source_size, target, taken, copies), one for each row of docs (doc_id, text, source, ...).
 
@@ -61,11 +69,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: flo
     table gives no rows. The same rows and seed give the same result however
     the table is partitioned.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit("")))
-    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")  # 60 bits
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), h.alias("h"))
-    slim = stored(slim, "mixing").withColumn("k1", F.shiftright("h", 52).cast("int")).withColumn("k2", F.pmod(F.shiftright("h", 44), F.lit(RANGES)).cast("int"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
+    slim = stored(_placed(slim, seed).drop("text"), "mixing")
+    out = _copied(slim, _limits(slim, weights, max_epochs), max_epochs)
+    return out.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"), "source")
+
+
+def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """The mix itself: every row of docs, with all its columns, as many times as mix() takes it."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
+    limits = _limits(stored(_placed(slim, seed).drop("text"), "mixing"), weights, max_epochs)
+    out = _copied(_placed(docs, seed), limits, max_epochs)
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*[out[c] for c in docs.columns])
 
+
+def _limits(slim: DataFrame, weights: tuple[float, ...], max_epochs: float) -> DataFrame:
+    """For each source: source_size, target, whole repetitions, what is left (more) and where the order is cut for it."""
+    slim = slim.select("source", "doc_id", F.col("_size").alias("size"), F.col("_h").alias("h"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
     level1 = stored(slim.groupBy("source", "k1").agg(F.sum("size").alias("words")), "mixing-ranges")
     targets = water_filling(level1.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -93,12 +113,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: flo
     taken = last.withColumn("upto", F.sum("size").over(rows)).where(F.col("upto") - F.col("size") / 2.0 <= F.col("more"))
     end = taken.groupBy("source").agg(F.max(F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "size")).alias("end"))
     limits = targets.alias("t").join(b, F.col("t.source").eqNullSafe(F.col("b.source")), "left").join(end.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select("t.source", "t.source_size", "t.target", "t.whole", "t.more", F.col("b.k1").alias("c1"), F.col("b.k2").alias("c2"), "e.end")
-    limits = stored(limits, "mixing-limits")
+    return stored(limits.withColumnRenamed("source", "_of"), "mixing-limits")
+
 
-    here = F.struct("h", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc_id"), "size")
-    early = F.when(F.col("more") <= 0, False).when(F.col("c1").isNull(), True).otherwise((F.col("k1") < F.col("c1")) | ((F.col("k1") == F.col("c1")) & ((F.col("k2") < F.col("c2")) | ((F.col("k2") == F.col("c2")) & F.coalesce(here <= F.col("end"), F.lit(False))))))
-    out = slim.alias("d").join(limits.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).withColumn("copies", F.least(F.ceil(F.lit(float(max_epochs))).cast("long"), (F.col("whole") + early.cast("long")).cast("long")))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", F.col("d.source").alias("source"))
+def _copied(placed: DataFrame, limits: DataFrame, max_epochs: float) -> DataFrame:
+    """placed with source_size, target and _copies; limits has a row for each source."""
+    here = F.struct(F.col("_h").alias("h"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("_size").alias("size"))
+    same1, same2 = F.col("_k1") == F.col("c1"), F.col("_k2") == F.col("c2")
+    early = F.when(F.col("more") <= 0, False).when(F.col("c1").isNull(), True).otherwise((F.col("_k1") < F.col("c1")) | (same1 & ((F.col("_k2") < F.col("c2")) | (same2 & F.coalesce(here <= F.col("end"), F.lit(False))))))
+    joined = placed.join(limits, placed["source"].cast("string").eqNullSafe(limits["_of"]))
+    return joined.withColumn("_copies", F.least(F.ceil(F.lit(float(max_epochs))).cast("long"), (F.col("whole") + early.cast("long")).cast("long")))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import components, ship, shuffle_partitions, stored
 
@@ -141,9 +142,32 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
     component_id unless all ids of its component are null. Other columns are
     ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    joined = _classes(rows, n, num, den, carried=["doc_id"])[1]
+    least = joined.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    return joined.join(least.withColumnRenamed("class", "k"), F.col("class") == F.col("k"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_1", "set_2")
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """docs, with all its columns, less all but one document of each component.
+
+    The one with the smallest doc_id stays (null ids last, then by row).
+    Documents with an empty set are in no component and stay.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    found, joined = _classes(rows, n, num, den, carried=rows.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_row").alias("row")))
+    kept = joined.where("class is not null").groupBy("class").agg(first.alias("m")).select(F.col("m.row").alias("kept_row"))
+    some = found.where("set_1 is not null").join(kept, F.col("_row") == F.col("kept_row"), "left_semi")
+    return some.unionByName(found.where("set_1 is null")).select(*docs.columns)
+
+
+def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The carried columns of rows with n_shingles, set_1, set_2; and, without text, also the component's node as class."""
+    spark = rows.sparkSession
     ship(spark)
-    table = spark.sparkContext.broadcast(_frequent(docs, n))
+    table = spark.sparkContext.broadcast(_frequent(rows, n))
+    source = [f"{k}" for k in carried]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -152,26 +176,25 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Da
 
         for batch in batches:
             size, one, two, heads = [], [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(0).to_pylist():
                 s = own.shingles(t, n)
                 size.append(len(s))
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 one.append(None if len(s) == 0 else (d & (2**64 - 1)) - 2**63)
                 two.append(None if len(s) == 0 else (d >> 64) - 2**63)
                 heads.append(own.prefix(s, table.value, num, den).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(heads, pa.binary())], ["doc_id", "n_shingles", "set_1", "set_2", "head"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(heads, pa.binary())], [*source, "n_shingles", "set_1", "set_2", "head"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stored(rows.mapInArrow(sets, "doc_id long, n_shingles long, set_1 long, set_2 long, head binary"), "ngram-sets")
-    classes = found.where("set_1 is not null").groupBy("set_1", "set_2").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("size"), F.first("head").alias("head"))
+    given = rows.select(F.col("text").alias("_words_of"), *source)
+    own_fields = [StructField("n_shingles", LongType()), StructField("set_1", LongType()), StructField("set_2", LongType()), StructField("head", BinaryType())]
+    found = stored(given.mapInArrow(sets, StructType([*given.schema.fields[1:], *own_fields])), "ngram-sets")
+    classes = found.where("set_1 is not null").groupBy("set_1", "set_2").agg(F.first("n_shingles").alias("size"), F.first("head").alias("head"))
     columns = stored(_columns(classes.select(F.col("set_1").alias("node"), "size", "head")), "ngram-columns")
-    links = _links(rows, columns, n, num, den)
-    reach = components(links)
-    # classes keep their digest as node; a component's id is the smallest doc_id in it
-    slim = found.select("doc_id", "n_shingles", "set_1", "set_2")
+    # links join classes by the first half of their digest
+    reach = components(_links(rows, columns, n, num, den))
+    slim = found.select("doc_id", "n_shingles", "set_1", "set_2", *(["_row"] if "_row" in carried else []))
     joined = slim.join(reach, slim["set_1"] == reach["node"], "left").withColumn("class", F.coalesce("component", "set_1"))
-    least = joined.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return joined.join(least.withColumnRenamed("class", "k"), F.col("class") == F.col("k"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_1", "set_2")
+    return found, joined
 
 
 def _columns(classes: DataFrame) -> DataFrame:
