@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import mixing
+from .embedding_dedup import op1_embedding_near_dedup
 from .mixing import op2_source_mixing
 from .ngram_join import op7_ngram_jaccard_join
 from .piece_lattice import op4_sentencepiece_sampling
@@ -10,6 +11,7 @@ from .quality_cnn import op10_quality_classifier
 from .token_counts import op9_token_counts
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op4_sentencepiece_sampling": op4_sentencepiece_sampling,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
