@@ -194,7 +194,7 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
         return pa.table({"q_dim": pa.array([key[0].as_py()], pa.int32()), "ids": [t.column("id").to_numpy().astype(np.int64).tobytes()], "q": [v.tobytes()]})
 
     packs = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("dim", "block").applyInArrow(gathered, "q_dim int, ids binary, q binary")
-    sent = packs.withColumn("q_shard", F.explode(F.sequence(F.lit(0), F.coalesce(*[F.when(F.col("q_dim") == d, F.lit(s)) for d, (s, _) in sizes.items()], F.lit(1)) - 1)).cast("long"))
+    sent = packs.withColumn("q_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(*[F.when(F.col("q_dim") == d, F.lit(s)) for d, (s, _) in sizes.items()], F.lit(1)).cast("long") - F.lit(1).cast("long"))))
     both = sent.join(index, (F.col("q_dim") == F.col("dim")) & (F.col("q_shard") == F.col("shard")))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
