@@ -4,7 +4,7 @@ A document's set is its distinct word n-grams, as 64-bit hashes. Two documents
 link when Jaccard similarity reaches num/den. The join works on the sparse
 document by n-gram incidence matrix, block by block:
 
-1. Documents with equal sets collapse into one class (128-bit digest).
+1. Documents with equal sets are one class (its digest names it).
 2. Each class keeps the columns of its prefix only: with n-grams ordered rare
    first, a set of size s shares an n-gram of its first
    s - ceil(s * num/den) + 1 with every set it links with. The order is by
@@ -12,9 +12,11 @@ document by n-gram incidence matrix, block by block:
 3. The incidence is cut into column blocks by n-gram hash; in each block the
    columns with two or more classes are found by sorting. Columns of equal
    membership count once.
-4. Overlap counts of candidate pairs are accumulated on whole sets, for pairs
-   that pass the size bound min >= max * num/den. Each column first checks its
-   members against the column's first one; what these links leave in different
+4. Overlap counts of candidate pairs are accumulated, first on the prefixes:
+   n-grams of one prefix that the other set can't hold bound the overlap from
+   above, and pairs whose bound, or whose sizes, rule the similarity out are
+   discarded. The rest are counted on whole sets. Each column first checks its
+   members against one of them; what these links leave in different
    components is then checked pair by pair. Pairs already connected needn't
    be looked at, so a large group of near copies costs its size, not the square.
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import components, ship, shuffle_partitions, stored
+from .common import components, only, ship, stored
 
 #: Entries of the table of frequent n-grams, at most; and the documents of a task in which an n-gram counts as frequent.
 FREQUENT_ENTRIES = 200_000
@@ -188,80 +190,85 @@ def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) ->
     given = rows.select(F.col("text").alias("_words_of"), *source)
     own_fields = [StructField("n_shingles", LongType()), StructField("set_1", LongType()), StructField("set_2", LongType()), StructField("head", BinaryType())]
     found = stored(given.mapInArrow(sets, StructType([*given.schema.fields[1:], *own_fields])), "ngram-sets")
-    classes = found.where("set_1 is not null").groupBy("set_1", "set_2").agg(F.first("n_shingles").alias("size"), F.first("head").alias("head"))
-    columns = stored(_columns(classes.select(F.col("set_1").alias("node"), "size", "head")), "ngram-columns")
     # links join classes by the first half of their digest
-    reach = components(_links(rows, columns, n, num, den))
+    held = found.where("set_1 is not null").select(F.col("set_1").alias("node"), F.col("n_shingles").alias("size"), "head")
+    columns = stored(_columns(held), "ngram-columns")
+    reach = components(_links(rows, held, columns, n, num, den))
     slim = found.select("doc_id", "n_shingles", "set_1", "set_2", *(["_row"] if "_row" in carried else []))
     joined = slim.join(reach, slim["set_1"] == reach["node"], "left").withColumn("class", F.coalesce("component", "set_1"))
     return found, joined
 
 
-def _columns(classes: DataFrame) -> DataFrame:
-    """classes (node, size, head) -> distinct rows (col, node, size): columns with at least two nodes.
+def _columns(held: DataFrame) -> DataFrame:
+    """held (node, size, head), nodes repeated for equal sets -> distinct rows (col, node): columns with two or more nodes.
 
     col is a hash of the column's members, so columns of equal membership
-    coincide. Block b holds the n-grams of hash range b; a task sends each
-    block one row of packed postings.
+    coincide. Block b holds the n-grams of hash range b; a batch of rows sends
+    each block one row of packed postings, with every node once.
     """
-    spark = classes.sparkSession
-    blocks = max(8, 2 * shuffle_partitions(spark))
+    postings = held.agg(F.sum(F.octet_length("head"))).first()[0] or 0
+    blocks = int(max(8, postings // 8 // 1_000_000))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import ngram_join as own
 
         for batch in batches:
-            heads = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
+            nodes, first = np.unique(batch.column(0).to_numpy(), return_index=True)
+            all_heads = batch.column(2).to_pylist()
+            heads = [np.frombuffer(all_heads[i], np.uint64) for i in first]
             if not heads:
                 continue
             h = np.concatenate(heads)
-            each = np.array([len(x) for x in heads])
-            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), each)
-            size = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), each)
+            node = np.repeat(nodes, [len(x) for x in heads])
             block = (own.mixed(h) % np.uint64(blocks)).astype(np.int32)
             order = np.argsort(block, kind="stable")
             cuts = np.searchsorted(block[order], np.arange(blocks + 1))
             parts = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(blocks) if cuts[b] < cuts[b + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in parts], pa.int32()), pa.array([h[i].tobytes() for _, i in parts], pa.binary()), pa.array([node[i].astype(np.int64).tobytes() for _, i in parts], pa.binary()), pa.array([size[i].astype(np.int32).tobytes() for _, i in parts], pa.binary())],
-                ["block", "h", "node", "size"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int32()), pa.array([h[i].tobytes() for _, i in parts], pa.binary()), pa.array([node[i].tobytes() for _, i in parts], pa.binary())], ["block", "h", "node"])
 
     def shared(key: tuple, t: pa.Table) -> pa.Table:
         from statuta.llm import ngram_join as own
 
-        def whole(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-
-        h, node, size = whole("h", np.uint64), whole("node", np.int64), whole("size", np.int32)
-        order = np.argsort(h, kind="stable")
-        h = h[order]
+        h = np.frombuffer(b"".join(t.column("h").to_pylist()), np.uint64)
+        node = np.frombuffer(b"".join(t.column("node").to_pylist()), np.int64)
+        order = np.lexsort((node, h))
+        h, node = h[order], node[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1])]
+        h, node = h[new], node[new]
         start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         length = np.diff(np.r_[start, len(h)])
-        keep = np.repeat(length > 1, length)
-        order, length = order[keep], length[length > 1]
-        node, size = node[order], size[order]
+        node = node[np.repeat(length > 1, length)]
+        length = length[length > 1]
+        col = node
         if len(node):
             start = np.cumsum(length) - length
             members = own.mixed(np.add.reduceat(own.mixed(node.view(np.uint64)), start) + length.astype(np.uint64)).view(np.int64)
-            _, first = np.unique(members, return_index=True)
             chosen = np.zeros(len(length), bool)
-            chosen[first] = True
+            chosen[np.unique(members, return_index=True)[1]] = True
             keep = np.repeat(chosen, length)
-            col, node, size = np.repeat(members, length)[keep], node[keep], size[keep]
-        else:
-            col = node
-        return pa.table({"col": pa.array(col, pa.int64()), "node": pa.array(node, pa.int64()), "size": pa.array(size, pa.int32())})
+            col, node = np.repeat(members, length)[keep], node[keep]
+        return pa.table({"col": pa.array(col, pa.int64()), "node": pa.array(node, pa.int64())})
+
+    sent = held.mapInArrow(packed, "block int, h binary, node binary")
+    return sent.groupBy("block").applyInArrow(shared, "col long, node long").distinct()
+
 
-    sent = classes.mapInArrow(packed, "block int, h binary, node binary, size binary")
-    return sent.groupBy("block").applyInArrow(shared, "col long, node long, size int").distinct()
+def may_link(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int, num: int, den: int) -> bool:
+    """Whether sets of these prefixes (in the common order) and sizes can reach num/den."""
+    if den * min(size_a, size_b) < num * max(size_a, size_b):
+        return False
+    in_a = np.isin(a, b, assume_unique=True)
+    if not in_a.any():
+        return True  # nothing to tell; doesn't happen for candidates
+    in_b = np.isin(b, a, assume_unique=True)
+    # before the last common n-gram, what isn't common isn't in the other set at all
+    last_a, last_b = np.flatnonzero(in_a)[-1], np.flatnonzero(in_b)[-1]
+    most = min(size_a - (last_a + 1 - in_a.sum()), size_b - (last_b + 1 - in_b.sum()))
+    return bool((num + den) * most >= num * (size_a + size_b))
 
 
-def _links(rows: DataFrame, columns: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Verified links (a, b) between nodes that connect every component."""
-    spark = rows.sparkSession
-    fits = F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num
-    involved = columns.select("node").distinct()
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -271,43 +278,54 @@ def _links(rows: DataFrame, columns: DataFrame, n: int, num: int, den: int) -> D
         for batch in batches:
             sets = [own.shingles(t, n) for t in batch.column(0).to_pylist()]
             nodes = [(xxhash.xxh3_128_intdigest(s.tobytes()) & (2**64 - 1)) - 2**63 for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
 
-    # whole sets of the classes in some column only, from one document each
-    one = stored(involved, "ngram-involved")
-    kept = rows.select("text").mapInArrow(whole_sets, "id long, items binary").join(one, F.col("id") == F.col("node"), "left_semi").dropDuplicates(["id"])
-    items = stored(kept, "ngram-items")
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from statuta.llm import ngram_join as own
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ok = [own.may_link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), s, t, num, den) for x, y, s, t in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def equal_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def with_both(pairs: DataFrame, of: DataFrame, values: list[str]) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(of.select(F.col("node").alias(side), *[F.col(v).alias(f"{v}_{side}") for v in values]), side)
+        return pairs.select("a", "b", *[f"{v}_{side}" for v in values for side in ("a", "b")])
+
+    involved = stored(columns.select("node").distinct(), "ngram-involved")
+    heads = stored(only(held, "node", involved).dropDuplicates(["node"]), "ngram-heads")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(items.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a").join(items.select(F.col("id").alias("b"), F.col("items").alias("items_b")), "b")
-        return full.select("a", "b", "items_a", "items_b").mapInArrow(check, "a long, b long, ok boolean").where("ok").select("a", "b")
-
-    # first: every member against its column's member of middle size (ties: smaller node)
-    centre = columns.groupBy("col").agg(F.min(F.struct("size", "node")).alias("c"))
-    star = columns.join(centre, "col").select(F.col("c.node").alias("a"), F.col("node").alias("b"), F.col("c.size").alias("size_a"), F.col("size").alias("size_b")).where("a <> b").where(fits).select("a", "b").distinct()
-    star = stored(star, "ngram-star")
-    links = stored(verified(star), "ngram-links")
+        """On the prefixes first, then on whole sets, read anew for the nodes that need them."""
+        left = stored(with_both(pairs, heads, ["head", "size"]).mapInArrow(possible, "a long, b long"), "ngram-possible")
+        needed = stored(left.select(F.col("a").alias("node")).unionAll(left.select("b")).distinct(), "ngram-needed")
+        items = only(rows.select("text").mapInArrow(whole_sets, "node long, items binary"), "node", needed).dropDuplicates(["node"])
+        return stored(with_both(left, stored(items, "ngram-items"), ["items"]).mapInArrow(equal_enough, "a long, b long"), "ngram-links")
+
+    # first: every member against its column's smallest
+    centre = columns.groupBy("col").agg(F.min("node").alias("a"))
+    star = stored(columns.join(centre, "col").where("a < node").select("a", F.col("node").alias("b")).distinct(), "ngram-star")
+    links = verified(star)
     # then: members of a column that are still in different components, pair by pair
     reach = components(links)
-    marked = columns.join(reach, "node", "left").withColumn("part", F.coalesce("component", "node")).select("col", "node", "size", "part")
-    mixed_columns = marked.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
-    open_columns = stored(marked.join(mixed_columns, "col"), "ngram-open")
-    x = open_columns.select("col", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"))
-    y = open_columns.select("col", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
-    pairs = x.join(y, "col").where("part_a < part_b").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
-    return links.unionAll(stored(verified(pairs), "ngram-links"))
+    marked = columns.join(reach, "node", "left").withColumn("part", F.coalesce("component", "node")).select("col", "node", "part")
+    open_ = marked.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
+    marked = stored(marked.join(open_, "col").join(heads.select("node", "size"), "node"), "ngram-open")
+    x = marked.select("col", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"))
+    y = marked.select("col", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
+    fits = F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num
+    pairs = x.join(y, "col").where("a < b and part_a <> part_b").where(fits).select("a", "b").distinct()
+    pairs = stored(pairs.join(star, ["a", "b"], "left_anti"), "ngram-pairs")
+    return links.unionAll(verified(pairs))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
