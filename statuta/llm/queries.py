@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import mixing
 from .embedding_dedup import op1_embedding_near_dedup
 from .graph_ann import op8_graph_neighbours
+from .html_crf import op5_html_main_text
 from .mixing import op2_source_mixing
 from .ngram_join import op7_ngram_jaccard_join
 from .piece_lattice import op4_sentencepiece_sampling
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op4_sentencepiece_sampling": op4_sentencepiece_sampling,
+    "op5_html_main_text": op5_html_main_text,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_graph_neighbours": op8_graph_neighbours,
     "op9_token_counts": op9_token_counts,
