@@ -11,10 +11,12 @@ from .ngram_join import op7_ngram_jaccard_join
 from .piece_lattice import op4_sentencepiece_sampling
 from .quality_cnn import op10_quality_classifier
 from .token_counts import op9_token_counts
+from .training_order import op3_training_order
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op3_training_order": op3_training_order,
     "op4_sentencepiece_sampling": op4_sentencepiece_sampling,
     "op5_html_main_text": op5_html_main_text,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
