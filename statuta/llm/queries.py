@@ -6,6 +6,7 @@ from . import mixing
 from .embedding_dedup import op1_embedding_near_dedup
 from .graph_ann import op8_graph_neighbours
 from .html_crf import op5_html_main_text
+from .katz_lm import op6_katz_scores
 from .mixing import op2_source_mixing
 from .ngram_join import op7_ngram_jaccard_join
 from .piece_lattice import op4_sentencepiece_sampling
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_training_order": op3_training_order,
     "op4_sentencepiece_sampling": op4_sentencepiece_sampling,
     "op5_html_main_text": op5_html_main_text,
+    "op6_katz_scores": op6_katz_scores,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_graph_neighbours": op8_graph_neighbours,
     "op9_token_counts": op9_token_counts,
