@@ -59,6 +59,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def only(df: DataFrame, column: str, keys: DataFrame, most: int = 4_000_000) -> DataFrame:
     """Rows of df whose column (long) is among keys (one long column, distinct).
 

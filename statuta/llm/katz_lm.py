@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, shuffle_partitions, stored
+from .common import pieces, ship, shuffle_partitions, stored
 from .ngram_join import mixed, word_hashes
 
 CHUNK_TOKENS = 3_000_000
@@ -152,7 +152,7 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
             d = np.array(meta, own.DOC)
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([d.tobytes()]), pa.array([words.tobytes()]), pa.array([own.pack(stream.astype(np.int32))])], ["chunk", "docs", "words", "stream"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = np.append(own.word_hashes(t), own.END)
                 out = k is not None and zlib.crc32(str(k).encode()) % modulus == held_out

@@ -29,17 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import components, only, ship, stored
+from .common import components, only, pieces, ship, stored
 
 #: Entries of the table of frequent n-grams, at most; and the documents of a task in which an n-gram counts as frequent.
 FREQUENT_ENTRIES = 200_000
 FREQUENT_LOCAL = 4
 #: Words whose hashes a worker keeps.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
+#: Pairs that may be broadcast (16 bytes each).
+FEW_PAIRS = 2_000_000
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -102,7 +104,7 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
                 counts[k] = counts.get(k, 0) + v
             waiting.clear()
 
-        for batch in batches:
+        for batch in pieces(batches):
             for t in batch.column(0).to_pylist():
                 waiting.append(own.shingles(t, n))
                 held += len(waiting[-1])
@@ -176,7 +178,7 @@ def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) ->
 
         from statuta.llm import ngram_join as own
 
-        for batch in batches:
+        for batch in pieces(batches):
             size, one, two, heads = [], [], [], []
             for t in batch.column(0).to_pylist():
                 s = own.shingles(t, n)
@@ -191,7 +193,7 @@ def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) ->
     own_fields = [StructField("n_shingles", LongType()), StructField("set_1", LongType()), StructField("set_2", LongType()), StructField("head", BinaryType())]
     found = stored(given.mapInArrow(sets, StructType([*given.schema.fields[1:], *own_fields])), "ngram-sets")
     # links join classes by the first half of their digest
-    held = found.where("set_1 is not null").select(F.col("set_1").alias("node"), F.col("n_shingles").alias("size"), "head")
+    held = found.where("set_1 is not null").select(F.col("set_1").alias("node"), F.col("n_shingles").alias("size"), "head", _key(F.col("doc_id")).alias("key"))
     columns = stored(_columns(held), "ngram-columns")
     reach = components(_links(rows, held, columns, n, num, den))
     slim = found.select("doc_id", "n_shingles", "set_1", "set_2", *(["_row"] if "_row" in carried else []))
@@ -297,29 +299,41 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     def with_both(pairs: DataFrame, of: DataFrame, values: list[str]) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(of.select(F.col("node").alias(side), *[F.col(v).alias(f"{v}_{side}") for v in values]), side)
-        return pairs.select("a", "b", *[f"{v}_{side}" for v in values for side in ("a", "b")])
+        """pairs with both sides' values: one side on the map side if the pairs are few, the other by one shuffle."""
+        few = F.broadcast if pairs.count() <= FEW_PAIRS else (lambda x: x)
+        right = of.select(F.col("node").alias("b"), *[F.col(v).alias(f"{v}_b") for v in values]).join(few(pairs), "b")
+        left = of.select(F.col("node").alias("a"), *[F.col(v).alias(f"{v}_a") for v in values]).join(few(pairs.select("a").distinct()), "a")
+        return right.join(left, "a").select("a", "b", *[f"{v}_{side}" for v in values for side in ("a", "b")])
+
+    # of every class one document, and the size
+    classes = stored(held.groupBy("node").agg(F.min("key").alias("key"), F.first("size").alias("size")), "ngram-classes")
 
-    involved = stored(columns.select("node").distinct(), "ngram-involved")
-    heads = stored(only(held, "node", involved).dropDuplicates(["node"]), "ngram-heads")
+    def documents_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+        return stored(classes.join(nodes, "node", "left_semi").select("key").distinct(), "ngram-needed")
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}")), side)
+        return pairs.where(F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """On the prefixes first, then on whole sets, read anew for the nodes that need them."""
-        left = stored(with_both(pairs, heads, ["head", "size"]).mapInArrow(possible, "a long, b long"), "ngram-possible")
-        needed = stored(left.select(F.col("a").alias("node")).unionAll(left.select("b")).distinct(), "ngram-needed")
-        items = only(rows.select("text").mapInArrow(whole_sets, "node long, items binary"), "node", needed).dropDuplicates(["node"])
-        return stored(with_both(left, stored(items, "ngram-items"), ["items"]).mapInArrow(equal_enough, "a long, b long"), "ngram-links")
+        """On the prefixes first, then on whole sets, read anew from the documents that need them."""
+        heads = only(held, "key", documents_of(pairs))
+        left = stored(with_both(pairs, heads, ["head", "size"]).mapInArrow(possible, "a long, b long").distinct(), "ngram-possible")
+        texts = only(rows.select(_key(F.col("doc_id")).alias("key"), "text"), "key", documents_of(left)).select("text")
+        items = stored(texts.mapInArrow(whole_sets, "node long, items binary"), "ngram-items")
+        return stored(with_both(left, items, ["items"]).mapInArrow(equal_enough, "a long, b long").distinct(), "ngram-links")
 
     # first: every member against its column's smallest
     centre = columns.groupBy("col").agg(F.min("node").alias("a"))
-    star = stored(columns.join(centre, "col").where("a < node").select("a", F.col("node").alias("b")).distinct(), "ngram-star")
+    star = stored(fitting(columns.join(centre, "col").where("a < node").select("a", F.col("node").alias("b")).distinct()), "ngram-star")
     links = verified(star)
     # then: members of a column that are still in different components, pair by pair
     reach = components(links)
     marked = columns.join(reach, "node", "left").withColumn("part", F.coalesce("component", "node")).select("col", "node", "part")
     open_ = marked.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
-    marked = stored(marked.join(open_, "col").join(heads.select("node", "size"), "node"), "ngram-open")
+    marked = stored(marked.join(open_, "col").join(classes.select("node", "size"), "node"), "ngram-open")
     x = marked.select("col", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"))
     y = marked.select("col", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
     fits = F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num
@@ -328,5 +342,10 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
     return links.unionAll(verified(pairs))
 
 
+def _key(doc_id: Column) -> Column:
+    """The id by which a class's document is read again; documents without one share a key."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ship
+from .common import pieces, ship
 
 TRAIN_ROWS = 3000
 TRAIN_BYTES = 2048
@@ -212,7 +212,7 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import quality_cnn
 
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [(x or "").encode("utf-8", "replace") for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             got = pa.array(quality_cnn.score_texts(shared.value, texts), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, "_score"])
