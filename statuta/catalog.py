@@ -1,4 +1,437 @@
-"""Registry of the engine's own queries and their SQL oracles."""
+"""Registry of the engine's own queries and their SQL oracles, over corpora derived from the given tables."""
 
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import corpus, schemas
+from .functions import scalars as S
+from .operators import abbreviations, caselaw, graph, legislation, lookup, oblique, provisions, replacing, rules
+from .plans import enrich
+from .streaming import messages
+
+# -- a small rule manifest, in the documented format -----------------------------------
+
+
+def _tokens(*spec: str) -> str:
+    kinds = {"#": {"LIKE_NUM": "true"}, "dddd": {"SHAPE": "dddd"}}
+    return json.dumps([kinds.get(t, {"ORTH": t}) for t in spec])
+
+
+#: id, family, uri_template, canonical_form, match_example, citation_type, is_canonical, is_neutral, tokens
+RULES = [
+    ("uksc", "UKSC", "http://cases.example/uksc/year/d1", "[dddd] UKSC d+", "[2022] UKSC 12", "NCitYearAbbrNum", True, True, ("[", "dddd", "]", "UKSC", "#")),
+    ("uksc_a", "UKSC", "http://cases.example/uksc/year/d1", "[dddd] UKSC d+", "(2022) UKSC 12", "NCitYearAbbrNum", False, True, ("(", "dddd", ")", "UKSC", "#")),
+    ("ewhc_ch", "EWHC", "http://cases.example/ewhc/ch/year/d1", "[dddd] EWHC d+ (Ch)", "[2022] EWHC 12 (Ch)", "NCitYearAbbrNumDiv", True, True, ("[", "dddd", "]", "EWHC", "#", "(", "Ch", ")")),
+    ("ewhc_ch_a", "EWHC", "http://cases.example/ewhc/ch/year/d1", "[dddd] EWHC d+ (Ch)", "(2022) EWHC 12 (Ch)", "NCitYearAbbrNumDiv", False, True, ("(", "dddd", ")", "EWHC", "#", "(", "Ch", ")")),
+    ("wlr", "WLR", None, "[dddd] d1 WLR d2", "[2022] 1 WLR 123", "PubYearNumAbbrNum", True, False, ("[", "dddd", "]", "#", "WLR", "#")),
+    ("wlr_a", "WLR", None, "[dddd] d1 WLR d2", "[2022] 1 W.L.R. 123", "PubYearNumAbbrNum", False, False, ("[", "dddd", "]", "#", "W.L.R.", "#")),
+    ("eucase", "EUC", None, "Case C-d1/d2", "Case C-123/12", "EUCCase", True, False, ("Case", "C-#")),
+    ("pd", "PD", None, "d1 PD d2", "1 PD 123", "PubNumAbbrNum", True, False, ("#", "PD", "#")),
+]
+
+
+def manifest(spark: SparkSession) -> DataFrame:
+    rows = []
+    for i, family, uri, form, example, kind, canonical, neutral, spec in RULES:
+        pattern = json.loads(_tokens(*spec))
+        if "C-#" in spec:  # one token, such as C-123/12: a prefix and a number
+            pattern = [{"ORTH": "Case"}, {"SHAPE": "C-number"}]
+        rows.append((i, family, family, uri, form, example, example, kind, canonical, neutral, "UK", json.dumps({"id": i, "description": family, "label": "CITATION", "pattern": pattern})))
+    return spark.createDataFrame(rows, schemas.MANIFEST)
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs as documents (uri, text) without tags."""
+    p = corpus.paragraphs(spark, sf_dir)
+    return p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.regexp_replace("markup", "<[^>]+>", "").alias("text"))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+P = f"with p as ({corpus.PARAGRAPHS}), t as (select *, concat_ws('#', uri, cast(para_no as varchar)) as id, regexp_replace(markup, '<[^>]+>', '', 'g') as text from p)"
+A = f"with a as ({corpus.ACTS})"
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+# -- case law ---------------------------------------------------------------------------
+
+
+@query(
+    P
+    + """
+select id as uri, concat('[', case_year, '] UKSC ', part) as citation_match, concat('[', case_year, '] UKSC ', part) as corrected_citation, case_year as year, concat('http://cases.example/uksc/', case_year, '/', part) as case_uri, true as is_neutral from t where kind = 0
+union all select id, concat('(', case_year, ') EWHC ', part, ' (Ch)'), concat('[', case_year, '] EWHC ', part, ' (Ch)'), case_year, concat('http://cases.example/ewhc/ch/', case_year, '/', part), true from t where kind = 1
+union all select id, concat('[', case_year, '] 1 W.L.R. ', part), concat('[', case_year, '] 1 WLR ', part), case_year, '#', false from t where kind = 2
+union all select id, concat('Case C-', part, '/12'), concat('Case C-', part, '/12'), '', '#', false from t where kind = 2"""
+)
+def caselaw_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caselaw.citations(texts(spark, sf_dir), manifest(spark)).select("uri", "citation_match", "corrected_citation", "year", "case_uri", "is_neutral")
+
+
+_KINDS = """case l_linenumber % 4 when 0 then 'PubYearAbbrNum' when 1 then 'PubYearNumAbbrNum' when 2 then 'PubNumAbbrNum' else 'Unknown' end"""
+
+
+@query(
+    f"""select l_orderkey, l_linenumber, l_partkey, {_KINDS} as kind,
+ case l_linenumber % 4 when 0 then concat('[', year(l_shipdate), '] PNLR ', l_partkey) when 1 then concat('(', year(l_shipdate), ') ', l_suppkey, ' Cr App R ', l_partkey)
+   when 2 then concat(l_suppkey, ' ExD ', l_partkey) else null end as corrected_citation,
+ case when l_linenumber % 4 in (0, 1) then cast(year(l_shipdate) as varchar) when l_linenumber % 4 = 2 then '' when l_linenumber % 4 = 3 then '' end as year
+ from lineitem"""
+)
+def malformed_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "lineitem")
+    y, s, p = F.year("l_shipdate").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
+    d = d.withColumn("kind", F.expr(_KINDS))
+    match = F.when(F.col("kind") == "PubYearAbbrNum", F.concat(F.lit("["), y, F.lit("] P.N.L.R "), p)).when(F.col("kind") == "PubYearNumAbbrNum", F.concat(F.lit("("), y, F.lit(") "), s, F.lit(" Cr. App. R. "), p)).otherwise(F.concat(s, F.lit(" Ex.D. "), p))
+    form = F.when(F.col("kind") == "PubYearAbbrNum", F.lit("[dddd] PNLR d+")).when(F.col("kind") == "PubYearNumAbbrNum", F.lit("(dddd) d1 Cr App R d2")).otherwise(F.lit("d1 ExD d2"))
+    d = d.withColumn("m", match).withColumn("form", form)
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "kind", S.corrected_citation(F.col("kind"), F.col("m"), F.col("form")).alias("corrected_citation"), S.citation_parts(F.col("kind"), F.col("m"))[0].alias("year"))
+
+
+@query("select * from (values " + ", ".join(f"('{r[0]}', '{r[0]}', true)" for r in RULES) + ") v(id, found_id, passed)")
+def manifest_self_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.self_test(manifest(spark))
+
+
+@query(f"select {len(RULES)}::bigint as rules, {len(RULES)}::bigint as distinct_found, true as ok")
+def manifest_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.publishable(manifest(spark))
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey,
+ case l_linenumber % 3 when 0 then concat('u/', year(l_shipdate), '/', l_suppkey) when 1 then concat('u/', year(l_shipdate), '/', l_suppkey, '_', l_partkey) else '#' end as uri from lineitem""")
+def uri_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "lineitem")
+    k = F.col("l_linenumber") % 3
+    # a template that names both numbers fills the first only, so the second is written by one that names d2 alone
+    template = F.when(k == 0, F.lit("u/year/d1")).when(k == 1, F.concat(F.lit("u/year/"), F.col("l_suppkey").cast("string"), F.lit("_d2")))
+    uri = S.create_uri(template, F.year("l_shipdate").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", uri.alias("uri"))
+
+
+# -- the lookup table ----------------------------------------------------------------------
+
+_ENHANCED = """, u as (select *, unnest([title, shorttitle, acronymcitation]) as candidate_titles from a),
+e as (select *, regexp_matches(candidate_titles, 'Act\\s+(\\d{4})') as for_fuzzy from u where candidate_titles is not null
+      qualify row_number() over (partition by candidate_titles order by ref, acronymcitation nulls last, citation, shorttitle nulls last, title, year) = 1)"""
+
+
+def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.enhance(corpus.acts(spark, sf_dir))
+
+
+@query(A + _ENHANCED + " select ref, year, citation, candidate_titles, for_fuzzy from e")
+def lookup_enhance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lookup(spark, sf_dir).select("ref", "year", "citation", "candidate_titles", "for_fuzzy")
+
+
+@query(A + " select ref, year, citation, title, shorttitle, acronymcitation from (select * from a where year <= 1996 union select * from a where year >= 1995)")
+def lookup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = corpus.acts(spark, sf_dir)
+    return lookup.merged(a.where("year <= 1996"), a.where("year >= 1995")).select("ref", "year", "citation", "title", "shorttitle", "acronymcitation")
+
+
+_TRIPLES = """
+select concat('s/', s_suppkey) as s, 'type' as p, case when s_suppkey % 5 = 0 then 'other' else 'act' end as o from supplier
+union all select concat('s/', s_suppkey), 'title', s_name from supplier
+union all select concat('s/', s_suppkey), 'ref_version', concat('v', s_nationkey) from supplier where s_suppkey % 7 <> 0
+union all select concat('s/', s_suppkey), 'act_time', concat('2024-01-', lpad(cast(s_nationkey % 28 + 1 as string), 2, '0')) from supplier
+union all select concat('s/', s_suppkey), 'year', cast(1990 + s_nationkey as string) from supplier where s_suppkey % 2 = 0
+union all select concat('s/', s_suppkey), 'citation', concat('c. ', s_suppkey) from supplier where s_suppkey % 3 = 0"""
+
+
+@query("""select concat('s/', s_suppkey) as ref, s_name as title, concat('v', s_nationkey) as ref_version,
+ case when s_suppkey % 3 = 0 then concat('c. ', s_suppkey) end as citation, case when s_suppkey % 2 = 0 then cast(1990 + s_nationkey as varchar) end as year
+ from supplier where s_suppkey % 5 <> 0 and s_suppkey % 7 <> 0""")
+def triple_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus.views(spark, sf_dir, "supplier")
+    return lookup.from_triples(spark.sql(_TRIPLES)).select("ref", "title", "ref_version", "citation", "year")
+
+
+@query("""select concat('s/', s_suppkey) as ref, 1990 + s_nationkey as year from supplier where s_suppkey % 5 <> 0 and s_suppkey % 7 <> 0 and s_suppkey % 2 = 0 and s_nationkey between 5 and 15""")
+def backfill_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus.views(spark, sf_dir, "supplier")
+    return lookup.by_year(spark.sql(_TRIPLES), 1995, 2005).select("ref", F.col("year").cast("int").alias("year"))
+
+
+@query("""select concat('s/', s_suppkey) as ref, concat('2024-01-', lpad(cast(s_nationkey % 28 + 1 as varchar), 2, '0')) as act_time from supplier
+ where s_suppkey % 5 <> 0 and s_suppkey % 7 <> 0 and s_nationkey % 28 + 1 between 11 and 19""")
+def changed_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus.views(spark, sf_dir, "supplier")
+    return lookup.changed_since(lookup.from_triples(spark.sql(_TRIPLES)), 10, F.lit("2024-01-20").cast("date")).select("ref", "act_time")
+
+
+# -- statutes ---------------------------------------------------------------------------------
+
+
+@query(P + ", a as (" + corpus.ACTS + ")" + _ENHANCED + r" select candidate_titles, year from e where year in (select cast(unnest(regexp_extract_all(text, '\b\d{4}\b')) as bigint) from t)")
+def year_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legislation.candidate_titles(texts(spark, sf_dir), _lookup(spark, sf_dir)).select("candidate_titles", "year")
+
+
+@query(P + r" select distinct id as uri, cast(y as bigint) as year from (select id, unnest(regexp_extract_all(text, '\b\d{4}\b')) as y from t)")
+def document_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legislation.document_years(texts(spark, sf_dir))
+
+
+@query(
+    P
+    + ", a as ("
+    + corpus.ACTS
+    + ")"
+    + _ENHANCED
+    + """ select id as uri, candidate_titles as title, cast(strpos(text, candidate_titles) - 1 as int) as start, cast(strpos(text, candidate_titles) - 1 + length(candidate_titles) as int) as "end",
+ 100 as confidence, ref as href, citation as canonical from t join e on (cast(e.year as varchar) = act_year or cast(e.year as varchar) = case_year) and contains(text, candidate_titles)"""
+)
+def exact_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legislation.exact_hits(texts(spark, sf_dir), _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "href", "canonical")
+
+
+@query(
+    r"""select d.doc_id as uri, phrase from documents d join (select distinct regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+)', 1) as phrase from benchmark) b
+ on b.phrase <> '' and regexp_matches(d.text, '(^|[^\p{L}\p{N}])' || b.phrase || '($|[^\p{L}\p{N}])')"""
+)
+def phrase_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", "^([A-Za-z]+ [A-Za-z]+)", 1).alias("phrase")).distinct().where("phrase <> ''")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uri"), "text")
+    found = legislation.phrase_hits(docs.withColumn("uri", F.col("uri").cast("string")), phrases)
+    return found.select(F.col("uri").cast("bigint").alias("uri"), "phrase").distinct()
+
+
+@query()
+def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = texts(spark, sf_dir).withColumn("text", F.replace("text", F.lit("Companies Act"), F.lit("Compannies Act")))
+    return legislation.fuzzy_hits(d, _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "detected_ref")
+
+
+_HITS = """select cast(l_orderkey as string) as uri, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) as int) as idx,
+ cast(l_partkey % 30 as int) as start, cast(l_partkey % 30 + l_suppkey % 20 as int) as {end}, cast(l_quantity as int) as confidence from lineitem"""
+
+
+@query(
+    "with h as ("
+    + _HITS.format(end='"end"')
+    + """) select * from h where not exists (select 1 from h o where o.uri = h.uri and o.idx <> h.idx
+  and ((h.start >= o.start and h."end" <= o."end") or (o.start >= h.start and o."end" <= h."end"))
+  and (h.confidence < o.confidence or (h.confidence = o.confidence and h.idx < o.idx)))"""
+)
+def overlap_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus.views(spark, sf_dir)
+    return legislation.resolve_overlaps(spark.sql(_HITS.format(end="end"))).select("uri", "idx", "start", "end", "confidence")
+
+
+@query(P + " select id as uri, concat('Companies Act ', act_year) as detected_ref, concat('http://statutes.example/', act_year, '/2') as href from t where kind in (2, 3) union all select id, concat('Finance Act ', act_year), concat('http://statutes.example/', act_year, '/1') from t where kind = 0")
+def statute_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _lookup(spark, sf_dir).where("acronymcitation is null or candidate_titles <> acronymcitation")
+    return legislation.matches(texts(spark, sf_dir), known).select("uri", "detected_ref", "href")
+
+
+# -- indirect mentions and sections --------------------------------------------------------------
+
+_M = ", m as (select uri, para_no as m_para, concat('Finance Act ', act_year) as detected_leg, concat('http://statutes.example/', act_year, '/1') as href, act_year from p where kind = 0)"
+
+
+@query(P + _M + " select u.uri, para_no as para, cast(strpos(markup, 'the Act') - 1 as int) as start, detected_leg, href, m_para from p u join m on m.uri = u.uri and m_para < para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para desc) = 1")
+def oblique_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    return oblique.latest_before(oblique.uses(p).where("kind = 'act'"), oblique.mentions(p)).select("uri", "para", "start", "detected_leg", "href", "m_para")
+
+
+@query(P + _M + " select u.uri, para_no as para, concat('the ', u.act_year, ' Act') as detected_ref, detected_leg, href, m_para from p u join m on m.uri = u.uri and m.act_year = u.act_year and m_para <= para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para) = 1")
+def oblique_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    return oblique.first_of_year(oblique.uses(p).where("kind = 'numbered_act'"), oblique.mentions(p)).select("uri", "para", "detected_ref", "detected_leg", "href", "m_para")
+
+
+@query(P + " select uri, para_no as para, concat('section ', sec, '(', line, ')') as section, sec as section_no, cast(strpos(markup, '<ref') - strpos(markup, 'section ') - length(concat('section ', sec, '(', line, ')')) as int) as gap, concat('http://statutes.example/', act_year, '/1/section/', sec) as section_href, concat(act_year, ' c. 1 s. ', sec) as section_canonical from p where kind = 0")
+def provision_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    pairs = provisions.close_pairs(provisions.sections(p), oblique.mentions(p))
+    return pairs.select("uri", "para", "section", "section_no", "gap", S.section_href(F.col("href"), F.col("section_no")).alias("section_href"), S.section_canonical(F.col("canonical"), F.col("section_no")).alias("section_canonical"))
+
+
+@query(
+    P
+    + """, u as (select uri, para_no, sec, case when kind = 0 then concat('section ', sec, '(', line, ')') else concat('section ', sec) end as section, case when kind = 0 then concat('/', line) else '' end as sub from p where kind <> 2),
+ d as (select uri, para_no as d_para, sec, concat('http://statutes.example/', act_year, '/1/section/', sec) as href from p where kind = 0)
+ select u.uri, para_no as para, section, d_para, concat(href, sub) as section_href from u join d on d.uri = u.uri and d.sec = u.sec and d_para <= para_no
+ qualify row_number() over (partition by u.uri, para_no order by d_para desc) = 1"""
+)
+def provision_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provisions.resolved(corpus.paragraphs(spark, sf_dir)).select("uri", "para", "section", "d_para", "section_href")
+
+
+@query(P + " select uri, para_no as para, cast(strpos(markup, 'section ') - 1 as int) as start, case when kind = 0 then concat('section ', sec, '(', line, ')') else concat('section ', sec) end as section, sec as section_no from p where kind <> 2")
+def section_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return provisions.sections(corpus.paragraphs(spark, sf_dir)).select("uri", "para", "start", "section", "section_no")
+
+
+# -- abbreviations ---------------------------------------------------------------------------------
+
+
+@query(P + " select id as uri, 'CED' as abb_match, 'Customs and Excise Duties' as longform from t where kind = 2 union all select id, concat('CA ', act_year), concat('Companies Act ', act_year) from t where kind = 2")
+def abbreviation_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abbreviations.definitions(texts(spark, sf_dir)).select("uri", "abb_match", "longform")
+
+
+@query(P + " select id as uri, 'CED' as abb_match, cast(strpos(text, 'CED') - 1 as int) as start from t where kind = 2 union all select id, concat('CA ', act_year), cast(strpos(text, concat('CA ', act_year)) - 1 as int) from t where kind = 2")
+def abbreviation_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = texts(spark, sf_dir)
+    return abbreviations.occurrences(t, abbreviations.definitions(t)).select("uri", "abb_match", "start")
+
+
+# -- replacements --------------------------------------------------------------------------------------
+
+
+def _case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir).where("kind = 0")
+    m = F.concat(F.lit("["), "case_year", F.lit("] UKSC "), "part")
+    return p.select("uri", m.alias("citation_match"), m.alias("corrected_citation"), F.col("case_year").alias("year"), F.concat(F.lit("http://cases.example/uksc/"), "case_year", F.lit("/"), "part").alias("case_uri"), F.lit(True).alias("is_neutral"))
+
+
+@query(
+    P
+    + """ select distinct uri, 'case' as kind, concat('[', case_year, '] UKSC ', part) as f0, concat('[', case_year, '] UKSC ', part) as f1, case_year as f2, concat('http://cases.example/uksc/', case_year, '/', part) as f3, 'true' as f4 from p where kind = 0
+ union all select distinct uri, 'leg', concat('Companies Act ', act_year), concat('http://statutes.example/', act_year, '/2'), concat(act_year, ' c. 2'), null, null from p where kind = 3
+ union all select distinct uri, 'abb', 'CED', 'Customs and Excise Duties', null, null, null from p where kind = 2"""
+)
+def replacement_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    leg = p.where("kind = 3").select("uri", F.concat(F.lit("Companies Act "), "act_year").alias("detected_ref"), F.concat(F.lit("http://statutes.example/"), "act_year", F.lit("/2")).alias("href"), F.concat("act_year", F.lit(" c. 2")).alias("canonical"))
+    abb = p.where("kind = 2").select("uri", F.lit("CED").alias("abb_match"), F.lit("Customs and Excise Duties").alias("longform"))
+    back = replacing.decoded(replacing.encoded(replacing.wire(_case_rows(spark, sf_dir), leg, abb)))
+    return back.select("uri", "kind", *[F.get("fields", F.lit(k)).alias(f"f{k}") for k in range(5)])
+
+
+def _first_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir).where("kind = 3").withColumn("uri", F.concat_ws("#", "uri", F.col("para_no").cast("string")))
+    docs = p.select("uri", F.concat(F.lit("<judgment><header>Companies Act "), "act_year", F.lit("</header>"), "markup", F.lit("</judgment>")).alias("xml"))
+    leg = p.select("uri", F.lit("leg").alias("kind"), F.array(F.concat(F.lit("Companies Act "), "act_year"), F.concat(F.lit("http://statutes.example/"), "act_year", F.lit("/2")), F.concat("act_year", F.lit(" c. 2"))).alias("fields"))
+    return replacing.splice_first_stage(docs, replacing.tags(leg))
+
+
+@query(
+    P
+    + """ select id as uri, concat('<judgment><header>Companies Act ', act_year, '</header>', replace(markup, concat('Companies Act ', act_year),
+ concat('<ref uk:type="legislation" href="http://statutes.example/', act_year, '/2" uk:canonical="', act_year, ' c. 2" uk:origin="OWN">Companies Act ', act_year, '</ref>')), '</judgment>') as xml from t where kind = 3"""
+)
+def splice_first_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_stage(spark, sf_dir)
+
+
+@query(
+    P
+    + _M
+    + """, o as (select u.uri, para_no, href, m.act_year as leg_year from p u join m on m.uri = u.uri and m_para < para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para desc) = 1),
+ x as (select p.uri, p.para_no, case when href is null then markup else replace(markup, 'the Act', concat('<ref href="', href, '" uk:canonical="', leg_year, ' c. 1" uk:type="legislation" uk:origin="OWN">the Act</ref>')) end as markup
+  from p left join o on o.uri = p.uri and o.para_no = p.para_no)
+ select uri, concat('<judgment>', string_agg(markup, '' order by para_no), '</judgment>') as xml from x group by uri"""
+)
+def splice_second_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    docs = p.groupBy("uri").agg(F.concat(F.lit("<judgment>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_no", "markup"))), lambda x: x["markup"]), ""), F.lit("</judgment>")).alias("xml"))
+    found = oblique.latest_before(oblique.uses(p).where("kind = 'act'"), oblique.mentions(p))
+    return replacing.splice_second_stage(docs, replacing.section_tags(found))
+
+
+# -- documents -------------------------------------------------------------------------------------------
+
+
+@query("""select page_id, case when page_id % 3 = 0 then concat('A', page_id) when page_id % 3 = 1 then 'B' else '' end as before_header, case page_id % 3 when 0 then '</header>' when 1 then '<header/>' else '' end as tag, url as after_header from pages""")
+def body_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "pages")
+    k = F.col("page_id") % 3
+    xml = F.when(k == 0, F.concat(F.lit("A"), F.col("page_id").cast("string"), F.lit("</header>"), "url")).when(k == 1, F.concat(F.lit("B<header/>"), "url")).otherwise(F.col("url"))
+    before, tag, after = S.header_split(xml)
+    return d.select("page_id", before.alias("before_header"), tag.alias("tag"), after.alias("after_header"))
+
+
+@query(r"""select page_id, cast(k - 1 as int) as para_no, l[k] as markup from (select page_id, regexp_extract_all(html, '(?s)<p(?:\s[^>]*)?/>|<p(?:\s[^>]*)?>.*?</p\s*>') as l from pages), unnest(generate_series(1, len(l))) g(k)""")
+def paragraph_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("uri"), F.col("html").alias("xml"))
+    return replacing.paragraph_rows(d).select(F.col("uri").cast("bigint").alias("page_id"), "para_no", "markup")
+
+
+@query(P + " select id as uri, regexp_replace(markup, '</?ref[^>]*>', '', 'g') as xml from t")
+def sanitised_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    return replacing.sanitised(p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.col("markup").alias("xml")))
+
+
+_JUDGMENT = """<akomaNtoso><judgment><meta><identification><FRBRManifestation><FRBRdate date="2020-01-01" name="made"/></FRBRManifestation></identification><proprietary></proprietary></meta><header/><judgmentBody><content>"""
+
+
+def _judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir).withColumn("markup", F.regexp_replace("markup", "</?ref[^>]*>", ""))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_no", "markup"))), lambda x: x["markup"]), "")
+    return p.groupBy("uri").agg(F.concat(F.lit(_JUDGMENT), body, F.lit("</content></judgmentBody></judgment></akomaNtoso>")).alias("xml"))
+
+
+@query(P + """, c as (select uri, regexp_replace(string_agg(regexp_replace(markup, '<[^>]+>', '', 'g'), '' order by para_no), '\\s+$', '') as text from p group by uri) select uri, text from c""")
+def body_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # ``content`` only: the names of the other parts hold none of the three words
+    d = _judgments(spark, sf_dir)
+    return replacing.body_rows(d)
+
+
+@query()
+def enrich_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole plan; the stamp's time is taken off so that runs compare."""
+    out = enrich.enrich(_judgments(spark, sf_dir), manifest(spark), _lookup(spark, sf_dir))
+    return out.select("uri", F.regexp_replace("xml", r'<FRBRdate date="[^"]*" name="enriched"/>', "").alias("xml"), "error")
+
+
+# -- graph -------------------------------------------------------------------------------------------------
+
+
+@query(P + " select dst, count(*) as cited_by from (select distinct uri, concat('http://statutes.example/', act_year, '/1') as dst from p where kind = 0 union select distinct uri, concat('http://cases.example/uksc/', case_year, '/', part) from p where kind = 0) group by dst")
+def citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    return graph.in_degree(graph.edges((_case_rows(spark, sf_dir), "case_uri"), (oblique.mentions(p), "href")))
+
+
+@query(P + " select distinct concat('http://statutes.example/', act_year, '/1/section/', sec) as dst, concat('http://statutes.example/', act_year, '/1') as parent from p where kind = 0")
+def section_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = corpus.paragraphs(spark, sf_dir)
+    defs = provisions.definitions(provisions.close_pairs(provisions.sections(p), oblique.mentions(p)))
+    return graph.parents(defs.select(F.col("section_href").alias("dst")))
+
+
+_HIERARCHY = """select concat('r', r_regionkey) as s, 'hasDivision' as p, concat('n', n_nationkey) as o from region join nation on n_regionkey = r_regionkey
+ union all select concat('n', n_nationkey), 'hasDivision', concat('s', s_suppkey) from nation join supplier on s_nationkey = n_nationkey"""
+
+
+@query(f"with recursive h as ({_HIERARCHY}), r(top, node, depth) as (select s, o, 1 from h union all select r.top, h.o, r.depth + 1 from r join h on h.s = r.node) select top, node, min(depth) as depth from r group by top, node")
+def court_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus.views(spark, sf_dir, "region", "nation", "supplier")
+    return graph.closure(spark.sql(_HIERARCHY), "hasDivision")
+
+
+# -- messages -------------------------------------------------------------------------------------------------
+
+
+@query("select event_id, event_type as status, concat('d/', event_id) as uri_reference, user_id % 5 = 1 as callback from events where user_id % 7 <> 0 and event_type <> 'error'")
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    message = F.to_json(F.struct(F.col("event_type").alias("status"), F.concat(F.lit("d/"), F.col("event_id").cast("string")).alias("uri_reference")))
+    bucket = F.when(F.col("user_id") % 5 == 1, F.struct(F.struct(F.lit("back").alias("name")).alias("bucket")))
+    body = F.to_json(F.struct(message.alias("Message"), F.when(F.col("user_id") % 7 == 0, F.lit("s3:TestEvent")).alias("Event"), bucket.alias("s3")))
+    records = e.select("event_id", body.alias("body"), F.when(F.col("event_type") != "error", F.create_map(F.lit("trigger_enrichment"), F.lit("1"))).otherwise(F.create_map(F.lit("other"), F.lit("1"))).alias("attributes"))
+    return messages.routed(messages.decoded(messages.subscribed(messages.without_tests(records))), "back").select("event_id", "status", "uri_reference", "callback")
