@@ -42,6 +42,8 @@ FREQUENT_LOCAL = 4
 CACHE_ENTRIES = 200_000
 #: Pairs that may be broadcast (16 bytes each).
 FEW_PAIRS = 2_000_000
+#: Members of a centre that are multiplied together.
+BLOCK = 1024
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -325,23 +327,67 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
         items = stored(texts.mapInArrow(whole_sets, "node long, items binary"), "ngram-items")
         return stored(with_both(left, items, ["items"]).mapInArrow(equal_enough, "a long, b long").distinct(), "ngram-links")
 
-    # first: every member against its column's smallest
-    centre = columns.groupBy("col").agg(F.min("node").alias("a"))
-    star = stored(fitting(columns.join(centre, "col").where("a < node").select("a", F.col("node").alias("b")).distinct()), "ngram-star")
-    links = verified(star)
-    # then: members of a column that are still in different components, pair by pair
-    reach = components(links)
-    marked = columns.join(reach, "node", "left").withColumn("part", F.coalesce("component", "node")).select("col", "node", "part")
-    open_ = marked.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
-    marked = stored(marked.join(open_, "col").join(classes.select("node", "size"), "node"), "ngram-open")
-    x = marked.select("col", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"))
-    y = marked.select("col", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
-    fits = F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num
-    pairs = x.join(y, "col").where("a < b and part_a <> part_b").where(fits).select("a", "b").distinct()
-    pairs = stored(pairs.join(star, ["a", "b"], "left_anti"), "ngram-pairs")
+    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    size = columns.groupBy("col").agg(F.count("*").alias("n"))
+    degree = columns.join(size, "col").groupBy("node").agg(F.sum("n").alias("degree"))
+    ranked = stored(columns.join(degree, "node"), "ngram-ranked")
+
+    # first: every member against the one of its column that meets the most others
+    centre = ranked.groupBy("col").agg(F.max(F.struct("degree", "node")).alias("c"))
+    stars = stored(ranked.join(centre, "col").select(F.col("c.node").alias("c"), "node").where("c <> node").distinct(), "ngram-stars")
+    tested = stored(fitting(ordered(stars.select(F.col("c").alias("a"), F.col("node").alias("b")))), "ngram-star")
+    links = verified(tested)
+
+    # then: what shares a column shares its centre, so the rest is found among each centre's
+    # members in different components, by products of blocks of their prefixes
+    reach = components(links).select(F.col("node").alias("k"), "component")
+    members = stars.join(classes.select("node", "key", "size"), "node").join(reach, F.col("node") == F.col("k"), "left").withColumn("part", F.coalesce("component", "node")).drop("k", "component")
+    several = members.groupBy("c").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("c", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = stored(members.join(several, "c"), "ngram-members")
+    heads = only(held, "key", members.select("key").distinct()).select("node", "head")
+    own_block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.withColumn("own", own_block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("node", "c", "part", "size", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("right"))
+    blocks = dealt.join(heads, "node").groupBy("c", "lo", "hi").applyInArrow(_block_pairs(num, den), "a long, b long")
+    pairs = stored(blocks.distinct().join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
     return links.unionAll(verified(pairs))
 
 
+def _block_pairs(num: int, den: int):
+    """The function of one block: pairs (a < b) in different components that may link, from overlap counts of prefixes."""
+
+    def pairs(key: tuple, t: pa.Table) -> pa.Table:
+        from statuta.llm import ngram_join as own
+
+        node, part, size = (t.column(k).to_numpy() for k in ("node", "part", "size"))
+        right, cross = t.column("right").to_numpy(), key[1] != key[2]
+        heads = [np.frombuffer(x, np.uint64) for x in t.column("head").to_pylist()]
+        each = np.array([len(x) for x in heads])
+        _, gram = np.unique(np.concatenate(heads), return_inverse=True)
+        row = np.repeat(np.arange(len(heads)), each)
+        order = np.argsort(gram, kind="stable")
+        rows, length = row[order], np.bincount(gram)
+        first = np.cumsum(length) - length
+        start = np.cumsum(each) - each
+        a, b = [], []
+        for i in range(len(heads)):
+            if cross and right[i]:
+                continue
+            g = gram[start[i] : start[i] + each[i]]
+            n = length[g]
+            at = np.repeat(first[g] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            overlap = np.bincount(rows[at], minlength=len(heads))
+            fits = (overlap > 0) & (part != part[i]) & (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num)
+            fits &= right if cross else (node > node[i])
+            for j in np.flatnonzero(fits):
+                if own.may_link(heads[i], heads[j], int(size[i]), int(size[j]), num, den):
+                    a.append(min(node[i], node[j]))
+                    b.append(max(node[i], node[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return pairs
+
+
 def _key(doc_id: Column) -> Column:
     """The id by which a class's document is read again; documents without one share a key."""
     return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
