@@ -400,6 +400,7 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     text. Whole pages are read and nothing of an article is dropped or capped.
     """
     spark = pages.sparkSession
+    pages = pages.drop("_text", "_n_chars")
     ship(spark)
     shared = spark.sparkContext.broadcast(model or fit(labelled_pages()))
 

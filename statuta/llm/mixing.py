@@ -79,8 +79,9 @@ def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs:
     """The mix itself: every row of docs, with all its columns, as many times as mix() takes it."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     limits = _limits(stored(_placed(slim, seed).drop("text"), "mixing"), weights, max_epochs)
-    out = _copied(_placed(docs, seed), limits, max_epochs)
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*[out[c] for c in docs.columns])
+    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("_all"))
+    out = _copied(_placed(whole, seed), limits, max_epochs)
+    return out.select("_all", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select("_all.*")
 
 
 def _limits(slim: DataFrame, weights: tuple[float, ...], max_epochs: float) -> DataFrame:

@@ -160,12 +160,12 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     The one with the smallest doc_id stays (null ids last, then by row).
     Documents with an empty set are in no component and stay.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    found, joined = _classes(rows, n, num, den, carried=rows.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_all"))
+    found, joined = _classes(rows, n, num, den, carried=["doc_id", "_row", "_all"])
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_row").alias("row")))
     kept = joined.where("class is not null").groupBy("class").agg(first.alias("m")).select(F.col("m.row").alias("kept_row"))
     some = found.where("set_1 is not null").join(kept, F.col("_row") == F.col("kept_row"), "left_semi")
-    return some.unionByName(found.where("set_1 is null")).select(*docs.columns)
+    return some.unionByName(found.where("set_1 is null")).select("_all.*")
 
 
 def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -305,6 +305,7 @@ def encode(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
     get equal segmentations. Whole texts are encoded, whatever their length.
     """
     spark = docs.sparkSession
+    docs = docs.drop("_ids", "_n_pieces", "_lossless")
     ship(spark)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,6 +330,7 @@ def encode(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """encoded (with _ids) with all its columns, and _text."""
+    encoded = encoded.drop("_text")
     ship(encoded.sparkSession)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -203,9 +203,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int
 def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs (doc_id, text, ...) with all its columns, and _score (0 to 1) and _predicted (1 if _score >= threshold).
 
-    Null texts count as empty; every text has a score. Repeated rows stay.
+    Null texts count as empty; every text has a score. Repeated rows stay;
+    earlier columns of these two names are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop("_score", "_predicted")
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
