@@ -78,18 +78,23 @@ def count_texts(texts: list[str], path: str, table: dict[str, int], cache: dict[
 
 
 def _frequent(docs: DataFrame, path: str, sample_rows: int, entries: int) -> dict[str, int]:
-    """The sample's most frequent words and their counts; summaries of at most ``entries`` rows leave each task."""
+    """The most frequent words of the first rows of an input partition, and their counts; at most ``entries``."""
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        left = sample_rows
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            for t in batch.column(0).slice(0, left).to_pylist():
                 seen.update(w for w in (t or "").split() if len(w) <= 64)
-        top = seen.most_common(entries)
-        yield pa.RecordBatch.from_pydict({"w": pa.array([w for w, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
-
-    rows = docs.select("text").limit(sample_rows).mapInArrow(summaries, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(entries).collect()
-    words = [r["w"] for r in rows if not _ODD_SPACE.search(r["w"])]
+            left -= batch.num_rows
+            if left <= 0:
+                break
+        top = [w for w, _ in seen.most_common(entries)]
+        yield pa.RecordBatch.from_pydict({"w": pa.array(top, pa.string())})
+
+    # a limit collected so runs the first input partition, and further ones only while rows are missing
+    words = [r["w"] for r in docs.select("text").mapInArrow(summaries, "w string").limit(entries).collect()]
+    words = [w for w in dict.fromkeys(words) if not _ODD_SPACE.search(w)]
     return dict(zip(words, _counter(path)(words), strict=True)) if words and path.endswith(".json") else {}
 
 
