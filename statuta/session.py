@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -32,6 +33,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the folder spark.checkpoint.dir names (set to a temporary one where it's unset) and read again."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="statuta-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/statuta/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_rows(df: DataFrame, schema: str | StructType, function: Callable[[dict], Iterable[dict]], rows: int = 500) -> DataFrame:
     """Each row of df, as a dict, to any number of rows of the schema; Arrow batches in and out."""
     ship(df.sparkSession)
