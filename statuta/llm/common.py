@@ -66,26 +66,10 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(k, rows)
 
 
-def only(df: DataFrame, column: str, keys: DataFrame, most: int = 4_000_000) -> DataFrame:
-    """Rows of df whose column (long) is among keys (one long column, distinct).
-
-    Up to ``most`` keys are broadcast as a sorted array (8 bytes each); beyond
-    that it is a semi-join.
-    """
-    spark = df.sparkSession
-    if keys.count() > most:
-        name = keys.columns[0]
-        return df.join(keys.withColumnRenamed(name, "_key"), F.col(column) == F.col("_key"), "left_semi")
-    known = spark.sparkContext.broadcast(np.sort(keys.toArrow().column(0).to_numpy().astype(np.int64)))
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            x = batch.column(at).fill_null(0).to_numpy().astype(np.int64)
-            found = known.value[np.minimum(np.searchsorted(known.value, x), max(0, len(known.value) - 1))] == x if len(known.value) else np.zeros(len(x), bool)
-            yield batch.filter(pa.array(found & batch.column(at).is_valid().to_numpy(zero_copy_only=False)))
-
-    return df.mapInArrow(kept, df.schema)
+def only(df: DataFrame, column: str, keys: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Rows of df whose column is among keys (one distinct long column): a semi-join, of up to ``most`` keys by broadcast."""
+    k = keys.select(F.col(keys.columns[0]).alias("_key"))
+    return df.join(F.broadcast(k) if keys.count() <= most else k, F.col(column) == F.col("_key"), "left_semi")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

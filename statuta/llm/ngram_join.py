@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -110,7 +110,7 @@ def _frequent(docs: DataFrame, n: int) -> np.ndarray:
             for t in batch.column(0).to_pylist():
                 waiting.append(own.shingles(t, n))
                 held += len(waiting[-1])
-                if held > 3_000_000:
+                if held > 2_000_000:
                     settle()
                     held = 0
         if waiting:
@@ -173,7 +173,10 @@ def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) ->
     spark = rows.sparkSession
     ship(spark)
     table = spark.sparkContext.broadcast(_frequent(rows, n))
-    source = [f"{k}" for k in carried]
+    source = list(carried)
+    # where whole rows are carried, the text is read from them, not sent twice
+    inner = carried.index("_all") if "_all" in carried else None
+    at = rows.schema["_all"].dataType.names.index("text") if inner is not None else None
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -182,18 +185,20 @@ def _classes(rows: DataFrame, n: int, num: int, den: int, carried: list[str]) ->
 
         for batch in pieces(batches):
             size, one, two, heads = [], [], [], []
-            for t in batch.column(0).to_pylist():
+            texts = batch.column(0) if inner is None else batch.column(inner).field(at)
+            for t in texts.to_pylist():
                 s = own.shingles(t, n)
                 size.append(len(s))
                 d = xxhash.xxh3_128_intdigest(s.tobytes())
                 one.append(None if len(s) == 0 else (d & (2**64 - 1)) - 2**63)
                 two.append(None if len(s) == 0 else (d >> 64) - 2**63)
                 heads.append(own.prefix(s, table.value, num, den).tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(heads, pa.binary())], [*source, "n_shingles", "set_1", "set_2", "head"])
+            kept = batch.columns[1:] if inner is None else batch.columns
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(heads, pa.binary())], [*source, "n_shingles", "set_1", "set_2", "head"])
 
-    given = rows.select(F.col("text").alias("_words_of"), *source)
+    given = rows.select(*source) if inner is not None else rows.select(F.col("text").alias("_words_of"), *source)
     own_fields = [StructField("n_shingles", LongType()), StructField("set_1", LongType()), StructField("set_2", LongType()), StructField("head", BinaryType())]
-    found = stored(given.mapInArrow(sets, StructType([*given.schema.fields[1:], *own_fields])), "ngram-sets")
+    found = stored(given.mapInArrow(sets, StructType([*(given.schema.fields[1:] if inner is None else given.schema.fields), *own_fields])), "ngram-sets")
     # links join classes by the first half of their digest
     held = found.where("set_1 is not null").select(F.col("set_1").alias("node"), F.col("n_shingles").alias("size"), "head", _key(F.col("doc_id")).alias("key"))
     columns = stored(_columns(held), "ngram-columns")
@@ -341,7 +346,13 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
     # then: what shares a column shares its centre, so the rest is found among each centre's
     # members in different components, by products of blocks of their prefixes
     reach = components(links).select(F.col("node").alias("k"), "component")
-    members = stars.join(classes.select("node", "key", "size"), "node").join(reach, F.col("node") == F.col("k"), "left").withColumn("part", F.coalesce("component", "node")).drop("k", "component")
+    of_columns = ranked.join(centre, "col").where("c.node <> node").select("col", F.col("c.node").alias("c"), "node").join(classes.select("node", "key", "size"), "node")
+    by_size = Window.partitionBy("col").orderBy("size", "node")
+    # in size order, who has any partner of fitting size in a column has a neighbour of fitting size
+    fitting_neighbour = (F.lag("size").over(by_size) * den >= F.col("size") * num) | (F.col("size") * den >= F.lead("size").over(by_size) * num)
+    members = of_columns.withColumn("near", F.coalesce(fitting_neighbour, F.lag("size").over(by_size) * den >= F.col("size") * num, F.col("size") * den >= F.lead("size").over(by_size) * num, F.lit(False)))
+    members = members.where("near").select("c", "node", "key", "size").distinct()
+    members = members.join(reach, F.col("node") == F.col("k"), "left").withColumn("part", F.coalesce("component", "node")).drop("k", "component")
     several = members.groupBy("c").agg(F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("c", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     members = stored(members.join(several, "c"), "ngram-members")
     heads = only(held, "key", members.select("key").distinct()).select("node", "head")
