@@ -324,10 +324,11 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
             pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}")), side)
         return pairs.where(F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num).select("a", "b")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """On the prefixes first, then on whole sets, read anew from the documents that need them."""
-        heads = only(held, "key", documents_of(pairs))
-        left = stored(with_both(pairs, heads, ["head", "size"]).mapInArrow(possible, "a long, b long").distinct(), "ngram-possible")
+    def verified(left: DataFrame, prefixes: bool) -> DataFrame:
+        """On the prefixes first, if asked, then on whole sets, read anew from the documents that need them."""
+        if prefixes:
+            heads = only(held, "key", documents_of(left))
+            left = stored(with_both(left, heads, ["head", "size"]).mapInArrow(possible, "a long, b long").distinct(), "ngram-possible")
         texts = only(rows.select(_key(F.col("doc_id")).alias("key"), "text"), "key", documents_of(left)).select("text")
         items = stored(texts.mapInArrow(whole_sets, "node long, items binary"), "ngram-items")
         return stored(with_both(left, items, ["items"]).mapInArrow(equal_enough, "a long, b long").distinct(), "ngram-links")
@@ -341,7 +342,7 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
     centre = ranked.groupBy("col").agg(F.max(F.struct("degree", "node")).alias("c"))
     stars = stored(ranked.join(centre, "col").select(F.col("c.node").alias("c"), "node").where("c <> node").distinct(), "ngram-stars")
     tested = stored(fitting(ordered(stars.select(F.col("c").alias("a"), F.col("node").alias("b")))), "ngram-star")
-    links = verified(tested)
+    links = verified(tested, prefixes=True)
 
     # then: what shares a column shares its centre, so the rest is found among each centre's
     # members in different components, by products of blocks of their prefixes
@@ -361,7 +362,7 @@ def _links(rows: DataFrame, held: DataFrame, columns: DataFrame, n: int, num: in
     dealt = dealt.select("node", "c", "part", "size", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("right"))
     blocks = dealt.join(heads, "node").groupBy("c", "lo", "hi").applyInArrow(_block_pairs(num, den), "a long, b long")
     pairs = stored(blocks.distinct().join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
-    return links.unionAll(verified(pairs))
+    return links.unionAll(verified(pairs, prefixes=False))
 
 
 def _block_pairs(num: int, den: int):
