@@ -36,9 +36,13 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}} | {t: {"p"} for t in "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()}
 _FENCES = frozenset("ul ol dl table article section div aside main nav header footer form body html blockquote figure select".split())
 _NO_TEXT = frozenset("script style template svg math head title object iframe canvas noframes".split())
+#: Any other start tag closes an open head, as text does.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>script|style|template|svg|title|iframe|noframes|object|canvas|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    # self-closed, which it isn't where the slash ends a value without quotes
+    r"|<(?:svg|math)(?=[\s/])(?:\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+))?+)*+/>"
+    r"|<(?P<raw>script|style|template|svg|title|iframe|noframes|object|canvas|math)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*>",
     re.S | re.I,
@@ -108,9 +112,19 @@ def parse(source: str | None) -> Page:
                 linked += len(piece)
 
     hidden = 0
+
+    def close_head() -> None:
+        nonlocal hidden
+        k = next(k for k, s in enumerate(stack) if s[0] == "head")
+        hidden -= sum(s[0] in _NO_TEXT for s in stack[k:])
+        del stack[k:]
+
     for m in _TOKEN.finditer(source):
-        if m.start() > at and not hidden:
-            add(source[at : m.start()])
+        if m.start() > at:
+            if hidden and not source[at : m.start()].isspace():
+                close_head()
+            if not hidden:
+                add(source[at : m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
@@ -130,6 +144,8 @@ def parse(source: str | None) -> Page:
                 hidden -= tag in _NO_TEXT
                 stack.pop()
             continue
+        if hidden and tag not in _IN_HEAD:
+            close_head()
         if tag not in _INLINE:
             close()
         if tag in _VOID:
@@ -156,6 +172,8 @@ def parse(source: str | None) -> Page:
         in_link += tag == "a"
         hidden += tag in _NO_TEXT
         stack.append((tag, node, inside or tag in ("article", "main"), above if gold is None else gold))
+    if hidden and source[at:].strip():
+        close_head()
     if not hidden:
         add(source[at:])
     close()
