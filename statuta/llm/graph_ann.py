@@ -33,7 +33,7 @@ SEED = 29
 
 def beam_search(x: np.ndarray, graph: np.ndarray, start: np.ndarray, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids (rows, beam) of nodes near the rows of q, and -2 q.x + x.x (for the order); -1 and inf where there are fewer."""
-    n, b = len(x), len(q)
+    n, b, wide = len(x), len(q), min(WIDE, beam)
     norm = (x * x).sum(1)
     seen = np.zeros((b, n), bool)
     row = np.arange(b)
@@ -47,7 +47,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: np.ndarray, q: np.ndarr
     live = row
     while len(live):
         open_ = np.where(done[live], np.inf, dist[live])
-        pick = np.argpartition(open_, WIDE - 1, 1)[:, :WIDE]
+        pick = np.argpartition(open_, wide - 1, 1)[:, :wide]
         ok = np.isfinite(np.take_along_axis(open_, pick, 1))
         some = ok.any(1)
         live, pick, ok = live[some], pick[some], ok[some]
