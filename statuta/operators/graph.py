@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def edges(*found: tuple[DataFrame, str]) -> DataFrame:
     """Distinct cites(src, dst) from annotations, given with the column that holds the address."""
@@ -29,13 +31,17 @@ def parents(addresses: DataFrame, column: str = "dst") -> DataFrame:
 
 
 def closure(triples: DataFrame, predicate: str) -> DataFrame:
-    """(top, node, depth): everything reachable over a predicate, by a recursive query; cycles end at depth 50."""
-    name = "statuta_hierarchy"
-    triples.where(F.col("p") == predicate).select("s", "o").distinct().createOrReplaceTempView(name)
-    return triples.sparkSession.sql(
-        f"""with recursive r(top, node, depth) as (
-              select s, o, 1 from {name}
-              union all
-              select r.top, h.o, r.depth + 1 from r join {name} h on h.s = r.node where r.depth < 50)
-            select top, node, cast(min(depth) as int) as depth from r group by top, node"""
-    )
+    """(top, node, depth): everything reachable over a predicate, and by how few links; cycles end by themselves.
+
+    Pairs of the greatest depth reached are joined with all pairs, so the depth
+    doubles in a round and no depth is too great. Every round is stored.
+    """
+    links = triples.where(F.col("p") == predicate).select(F.col("s").alias("top"), F.col("o").alias("node"), F.lit(1).alias("depth")).distinct()
+    found, reach = stored(links, "closure"), 1
+    # without a pair of this very depth there is none beyond it
+    while not found.where(F.col("depth") == reach).isEmpty():
+        far = found.where(F.col("depth") == reach).select("top", F.col("node").alias("mid"))
+        rest = found.select(F.col("top").alias("mid"), "node", (F.col("depth") + reach).alias("depth"))
+        found = stored(found.unionByName(far.join(rest, "mid").select("top", "node", "depth")).groupBy("top", "node").agg(F.min("depth").alias("depth")), "closure")
+        reach *= 2
+    return found
