@@ -10,8 +10,8 @@ of a document are the only input: the score reads no label, language, source
 or id.
 
 The network is fitted on the driver on a bounded sample of labelled rows
-(``TRAIN_ROWS`` rows, of each one stretch of at most ``TRAIN_BYTES`` bytes);
-scoring covers every byte of every document, block by block.
+(``TRAIN_ROWS`` rows, whole texts); fitting and scoring cover every byte of a
+document, block by block where it is long.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import pieces, ship
 
 TRAIN_ROWS = 3000
-TRAIN_BYTES = 2048
 WIDTH, STRIDE, EMBED, FILTERS, HALF, HIDDEN = 8, 4, 8, 32, 32, 24
 EPOCHS, BATCH, RATE, SEED = 8, 32, 0.01, 5
 #: Small samples are gone through more often, up to so many steps.
 LEAST_STEPS = 800
 #: Halves multiplied at once.
 BLOCK = 512
+#: Bytes of a batch up to which its gradient is taken at once.
+AT_ONCE = 1 << 18
 THRESHOLD = 0.3
 
 Model = dict[str, np.ndarray]
@@ -136,36 +137,73 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
 
 
 def _gradient(m: Model, texts: list[bytes], y: np.ndarray, weight: np.ndarray) -> Model:
-    g: Model = {}
     views = [windows(t) for t in texts]
-    w = np.concatenate([v for v, _ in views])
     halves = np.array([len(v) for v, _ in views])
+    parts = [(v, np.append(np.full(len(v) - 1, HALF), n - (len(v) - 1) * HALF)) for v, n in views]
+    if sum(map(len, texts)) <= AT_ONCE:
+        blocks, owner = [_forward(m, parts)], [np.arange(len(texts))]
+        best, mean, ties = _pool(blocks[0])
+    else:  # the forward pass of a block is done again when its turn comes
+        blocks, owner, best, mean, ties = [], [], [], [], []
+        for i, (w, real) in enumerate(parts):
+            cuts = [slice(k, min(len(w), k + BLOCK + 1)) for k in range(0, max(1, len(w) - 1), BLOCK)]
+            most, sums, tied = np.full(HIDDEN, -np.inf, np.float32), np.zeros(HIDDEN), np.zeros(HIDDEN, np.float32)
+            for cut in cuts:
+                h = _forward(m, [(w[cut], real[cut])])["h"]
+                top, count = h.max(0), (h == h.max(0)).sum(0).astype(np.float32)
+                tied = np.where(top > most, count, np.where(top == most, tied + count, tied))
+                most, sums = np.maximum(most, top), sums + h.sum(0)
+            blocks += [(w[cut], real[cut]) for cut in cuts]
+            owner += [np.array([i])] * len(cuts)
+            best.append(most)
+            mean.append(sums / max(1, len(w) - 1))
+            ties.append(tied)
+        best, mean, ties = np.stack(best), np.stack(mean), np.stack(ties)
+    pool = np.concatenate([best, mean], 1).astype(np.float32)
+    p = 1 / (1 + np.exp(-np.clip(pool @ m["out"] + m["out_b"], -30, 30)))
+    dz = ((p - y) * weight / len(y)).astype(np.float32)
+    g: Model = {"out": pool.T @ dz, "out_b": dz.sum(keepdims=True)}
+    dpool = np.outer(dz, m["out"])
+    dmean = dpool[:, HIDDEN:] / np.maximum(1, halves - 1)[:, None]
+    dbest = dpool[:, :HIDDEN] / ties
+    for block, i in zip(blocks, owner, strict=True):
+        f = block if isinstance(block, dict) else _forward(m, [block])
+        for name, d in _backward(m, f, dmean[i], dbest[i], best[i]).items():
+            g[name] = g[name] + d if name in g else d
+    return g
+
+
+def _forward(m: Model, parts: list[tuple[np.ndarray, np.ndarray]]) -> dict:
+    """What _backward needs of texts, or of a block of one, given as windows and how many of each half are real."""
+    w, real = np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts])
+    halves = np.array([len(v) for v, _ in parts])
     base = np.cumsum(halves) - halves
-    real = np.full(len(w), HALF)
-    real[base + halves - 1] = [n - (len(v) - 1) * HALF for v, n in views]
     x, a = activations(m, w, real)
-    at, top, total = a.argmax(1), a.max(1), a.sum(1)
+    top = a.max(1)
     each = np.maximum(1, halves - 1)
     start = np.cumsum(each) - each
     first = np.repeat(base - start, each) + np.arange(each.sum())
     second = np.minimum(first + 1, np.repeat(base + halves - 1, each))
-    feats = chunk_features(top, total, real, first, second)
+    feats = chunk_features(top, a.sum(1), real, first, second)
     pre = feats @ m["dense"] + m["dense_b"]
-    h = np.maximum(pre, 0)
-    best = np.maximum.reduceat(h, start)
-    pool = np.concatenate([best, np.add.reduceat(h, start) / each[:, None]], 1).astype(np.float32)
-    p = 1 / (1 + np.exp(-np.clip(pool @ m["out"] + m["out_b"], -30, 30)))
-    dz = ((p - y) * weight / len(y)).astype(np.float32)
-    g["out"], g["out_b"] = pool.T @ dz, dz.sum(keepdims=True)
-    dpool = np.outer(dz, m["out"])
-    dh = np.repeat(dpool[:, HIDDEN:] / each[:, None], each, 0)
-    is_best = h == np.repeat(best, each, 0)
-    share = np.add.reduceat(is_best.astype(np.float32), start)
-    dh += is_best * np.repeat(dpool[:, :HIDDEN] / share, each, 0)
-    dpre = (dh * (pre > 0)).astype(np.float32)
+    return {"w": w, "x": x, "a": a, "top": top, "each": each, "start": start, "first": first, "second": second, "feats": feats, "pre": pre, "h": np.maximum(pre, 0)}
+
+
+def _pool(f: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximum and mean over each text's chunks, and how many chunks have the maximum."""
+    best = np.maximum.reduceat(f["h"], f["start"])
+    ties = np.add.reduceat((f["h"] == np.repeat(best, f["each"], 0)).astype(np.float32), f["start"])
+    return best, np.add.reduceat(f["h"], f["start"]) / f["each"][:, None], ties
+
+
+def _backward(m: Model, f: dict, dmean: np.ndarray, dbest: np.ndarray, best: np.ndarray) -> Model:
+    g: Model = {}
+    a, top, each, first, second, feats = f["a"], f["top"], f["each"], f["first"], f["second"], f["feats"]
+    dh = np.repeat(dmean, each, 0) + (f["h"] == np.repeat(best, each, 0)) * np.repeat(dbest, each, 0)
+    dpre = (dh * (f["pre"] > 0)).astype(np.float32)
     g["dense"], g["dense_b"] = feats.T @ dpre, dpre.sum(0)
     df = dpre @ m["dense"].T
-    dtop, dtotal = np.zeros_like(top), np.zeros_like(total)
+    dtop, dtotal = np.zeros_like(top), np.zeros_like(top)
     up = df[:, :FILTERS]
     left = top[first] >= top[second]
     np.add.at(dtop, first, up * left)
@@ -173,13 +211,14 @@ def _gradient(m: Model, texts: list[bytes], y: np.ndarray, weight: np.ndarray) -
     n = feats[:, -1:] * (2 * HALF)
     np.add.at(dtotal, first, df[:, FILTERS : 2 * FILTERS] / n)
     np.add.at(dtotal, second, np.where((first == second)[:, None], 0, df[:, FILTERS : 2 * FILTERS] / n))
+    at = a.argmax(1)
     da = np.repeat(dtotal[:, None, :], HALF, 1)
     rows, cols = np.indices(at.shape)
     da[rows, at, cols] += dtop
     da = (da * (a > 0)).reshape(-1, FILTERS)
-    g["conv"], g["conv_b"] = x.T @ da, da.sum(0)
+    g["conv"], g["conv_b"] = f["x"].T @ da, da.sum(0)
     dx = (da @ m["conv"].T).reshape(-1, EMBED)
-    flat = w.reshape(-1)
+    flat = f["w"].reshape(-1)
     g["embed"] = np.stack([np.bincount(flat, dx[:, j], 256) for j in range(EMBED)], 1).astype(np.float32)
     return g
 
@@ -193,11 +232,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int
     known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where("doc_id is not null").where(remainder("doc_id", 5) != 0)
     chosen = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality").limit(rows)
-    # a bounded dimension (``rows`` ids), so broadcast; one stretch of each text leaves the executors
+    # a bounded dimension (``rows`` ids), so broadcast
     b = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    start = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.greatest(F.lit(1), F.octet_length(b) - TRAIN_BYTES + 1)).cast("int")
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", F.substring(b, start + 1, F.lit(TRAIN_BYTES)).alias("part")).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "part").limit(2 * rows).collect()
-    return fit([bytes(r["part"]) for r in got], [r["quality"] for r in got], seed=seed)
+    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", b.alias("text")).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "text").limit(2 * rows).collect()
+    return fit([bytes(r["text"]) for r in got], [r["quality"] for r in got], seed=seed)
 
 
 def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
