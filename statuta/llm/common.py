@@ -35,9 +35,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where the session names none (tests), a temporary folder set once."""
+    """spark.checkpoint.dir. Where it is unset, a local session (tests) gets a temporary folder; a cluster needs one that all executors share."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir isn't set: it must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="statuta-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -48,7 +50,16 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/statuta/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables. Only for tables that nothing still to be computed reads: what was made of them is stored itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -68,23 +79,24 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
 
 def only(df: DataFrame, column: str, keys: DataFrame, most: int = 1_000_000) -> DataFrame:
     """Rows of df whose column is among keys (one distinct long column): a semi-join, of up to ``most`` keys by broadcast."""
-    k = keys.select(F.col(keys.columns[0]).alias("_key"))
-    return df.join(F.broadcast(k) if keys.count() <= most else k, F.col(column) == F.col("_key"), "left_semi")
+    k = keys.select(F.col(keys.columns[0]).alias("_only"))
+    return df.join(F.broadcast(k) if keys.count() <= most else k, F.col(column) == F.col("_only"), "left_semi")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a long, b long): rows (node, component), component the smallest node.
 
     Alternates large-star and small-star steps, each two shuffles of the edge
-    list; every round's edges are written to the shared folder. Nodes without
-    an edge to another node don't appear. Self-loops, nulls and repeated edges
-    are ignored. Ends when a round changes nothing, that is, when the edges
-    are stars around their components' smallest nodes.
+    list; every round's edges are written to the shared folder, and those of
+    the round before deleted. Nodes without an edge to another node don't
+    appear. Self-loops, nulls and repeated edges are ignored. Ends when a round
+    changes nothing, that is, when the edges are stars around their
+    components' smallest nodes. discard() takes the result.
     """
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = stored(e, "edges")
     seen = None
-    for _ in range(most_rounds):
+    while True:
         count = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if tuple(count) == seen or count["n"] == 0:
             break
@@ -94,7 +106,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = stored(small, "edges")
-    else:
-        raise RuntimeError(f"components: no end after {most_rounds} rounds")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        before, e = e, stored(small, "edges")
+        discard(before)
+    out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out.stored_at = e.stored_at
+    return out
