@@ -161,16 +161,17 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
     query: a condition on column ``id`` that says which rows are queries. A
     query's own row is no candidate. Ties go to the smaller id. Null, empty,
     zero and non-finite vectors take no part, nor do null ids; vectors of
-    different length aren't compared. Repeated rows of an id are candidates of
-    their own. score: the inner product of the original vectors in double
-    precision. Other columns are ignored.
+    different length aren't compared. Repeated rows of an id are queries and
+    candidates of their own: each has its own k rows, the others of its id
+    among them where they are near. score: the inner product of the original
+    vectors in double precision. Other columns are ignored.
     """
     spark = rows.sparkSession
     ship(spark)
     members, found = vectors.classes(rows.where(F.col(id_column).isNotNull()), id_column, vector_column)
     kind = vectors.width(found)
     sizes = {r["dim"]: (-(-r["n"] // shard_size), r["longest"]) for r in found.groupBy("dim").agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))).alias("longest")).collect()}
-    shards = F.coalesce(*[F.when(F.col("dim") == d, F.lit(s)) for d, (s, _) in sizes.items()], F.lit(1))
+    shards = F.coalesce(*[F.when(F.col("dim") == d, F.lit(s)) for d, (s, _) in sizes.items()], F.lit(1)).cast("long")
 
     def indexed(key: tuple, t: pa.Table) -> pa.Table:
         from statuta.llm import graph_ann as own
@@ -183,7 +184,7 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
         graph, start = own.build(own.lifted(v, sizes[dim][1]))
         return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()), "nodes": [node.tobytes()], "vecs": [v.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "start": [start.astype(np.int32).tobytes()]})
 
-    dealt = found.select("node", "dim", "vec", F.pmod("node", shards).alias("shard"))
+    dealt = found.select("node", "dim", "vec", F.pmod(F.xxhash64("node"), shards).alias("shard"))
     index = stored(dealt.groupBy("dim", "shard").applyInArrow(indexed, "dim int, shard long, nodes binary, vecs binary, graph binary, start binary"), "graph-index")
 
     asked = members.where(query if query is not None else F.lit(True)).join(found.select("node", "dim", "vec"), "node")
@@ -191,9 +192,9 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
 
     def gathered(key: tuple, t: pa.Table) -> pa.Table:
         v = t.column("vec").combine_chunks().flatten().to_numpy().astype(kind)
-        return pa.table({"q_dim": pa.array([key[0].as_py()], pa.int32()), "ids": [t.column("id").to_numpy().astype(np.int64).tobytes()], "q": [v.tobytes()]})
+        return pa.table({"q_dim": pa.array([key[0].as_py()], pa.int32()), "ids": [t.column("row").to_numpy().astype(np.int64).tobytes()], "q": [v.tobytes()]})
 
-    packs = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("dim", "block").applyInArrow(gathered, "q_dim int, ids binary, q binary")
+    packs = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).groupBy("dim", "block").applyInArrow(gathered, "q_dim int, ids binary, q binary")
     sent = packs.withColumn("q_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(*[F.when(F.col("q_dim") == d, F.lit(s)) for d, (s, _) in sizes.items()], F.lit(1)).cast("long") - F.lit(1).cast("long"))))
     both = sent.join(index, (F.col("q_dim") == F.col("dim")) & (F.col("q_shard") == F.col("shard")))
 
@@ -221,14 +222,15 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
                     last = np.full(len(part), -np.inf)
                     last[row[rank == k]] = score[rank == k]
                     keep = score >= last[row]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[i + row[keep]]), pa.array(nodes[at[keep]]), pa.array(score[keep])], ["query_id", "node", "score"])
-
-    hits = stored(both.select("dim", "nodes", "vecs", "graph", "start", "ids", "q").mapInArrow(searched, "query_id long, node long, score double"), "graph-hits")
-    heads = members.where("node is not null").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where(F.col("place") <= k + 1).select("node", F.col("id").alias("vec_id"))
-    best = hits.withColumn("r", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("r") <= k + 1).drop("r")
-    named = best.join(heads, "node").where("vec_id <> query_id")
-    ranked = named.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i + row[keep]]), pa.array(nodes[at[keep]]), pa.array(score[keep])], ["query_row", "node", "score"])
+
+    hits = stored(both.select("dim", "nodes", "vecs", "graph", "start", "ids", "q").mapInArrow(searched, "query_row long, node long, score double"), "graph-hits")
+    heads = members.where("node is not null").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("id", "row"))).where(F.col("place") <= k + 1).select("node", "row", F.col("id").alias("vec_id"))
+    best = hits.withColumn("r", F.rank().over(Window.partitionBy("query_row").orderBy(F.desc("score")))).where(F.col("r") <= k + 1).drop("r")
+    named = best.join(heads, "node").where("row <> query_row")
+    ranked = named.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))).where(F.col("rank") <= k)
+    ids = members.select(F.col("row").alias("query_row"), F.col("id").alias("query_id"))
+    return ranked.join(ids, "query_row").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
