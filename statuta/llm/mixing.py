@@ -6,7 +6,9 @@ excess is reshared among the others by weight until none is above. Every
 document of a source is then taken floor(rate) times, and one time more if it
 comes early enough in the source's seeded order for the source to meet its
 target: the cut is found through two levels of hash-range sums, so no task
-ever orders a whole source.
+ever orders a whole source. Rows that are equal in doc_id, source and text
+share a place; where the cut falls among them, as many of them are taken as
+the target asks for, chosen through ranges of their row numbers.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 MAX_EPOCHS = 3
 SEED = 17
@@ -53,7 +55,8 @@ def water_filling(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_
 
 def _placed(docs: DataFrame, seed: int) -> DataFrame:
     """docs with _size, and the document's place in its source's seeded order: _h and its two ranges _k1, _k2."""
-    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit("")))
+    empty = F.lit("")
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), empty), F.coalesce(F.col("source").cast("string"), empty), F.md5(F.coalesce("text", empty).cast("binary")))
     h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")  # 60 bits
     d = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_h", h)
     return d.withColumn("_k1", F.shiftright("_h", 52).cast("int")).withColumn("_k2", F.pmod(F.shiftright("_h", 44), F.lit(RANGES)).cast("int"))
@@ -64,10 +67,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: flo
 
     size: words of the text (null or empty: 0; such a document takes 0 words).
     copies: times the document is taken; taken = size * copies. Null sources
-    are one source, null doc_ids one place in the order; repeated rows stay
-    rows of their own and share the cut. Other columns are ignored. An empty
-    table gives no rows. The same rows and seed give the same result however
-    the table is partitioned.
+    are one source. Null and repeated doc_ids take places of their own by
+    their texts; rows equal in id, source and text share one, and the cut may
+    take some of them. Other columns are ignored. An empty table gives no
+    rows. The same rows and seed give the same result however the table is
+    partitioned (of equal rows, as many are taken).
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
     slim = stored(_placed(slim, seed).drop("text"), "mixing")
@@ -78,7 +82,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: flo
 def repeat(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mix itself: every row of docs, with all its columns, as many times as mix() takes it."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    limits = _limits(stored(_placed(slim, seed).drop("text"), "mixing"), weights, max_epochs)
+    slim = stored(_placed(slim, seed).drop("text"), "mixing")
+    limits = _limits(slim, weights, max_epochs)
+    discard(slim)
     whole = docs.select("doc_id", "source", "text", F.struct("*").alias("_all"))
     out = _copied(_placed(whole, seed), limits, max_epochs)
     return out.select("_all", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select("_all.*")
@@ -109,21 +115,49 @@ def _limits(slim: DataFrame, weights: tuple[float, ...], max_epochs: float) -> D
     level2 = in1.groupBy("source", "k2").agg(F.sum("size").alias("words"))
     cut2 = stored(cut(level2, cut1.select("source", "more"), ["k2"], ["k2"]).join(cut1.select(F.col("source").alias("s1"), "k1"), F.col("source").eqNullSafe(F.col("s1"))).select("source", "k1", "k2", "more"), "mixing-cut")
     b = cut2.alias("b")
-    last = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.k1") == F.col("b.k1")) & (F.col("a.k2") == F.col("b.k2"))).select("a.source", "a.h", "a.doc_id", "a.size", "b.k1", "b.k2", "b.more")
-    rows = Window.partitionBy("source").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    taken = last.withColumn("upto", F.sum("size").over(rows)).where(F.col("upto") - F.col("size") / 2.0 <= F.col("more"))
-    end = taken.groupBy("source").agg(F.max(F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "size")).alias("end"))
-    limits = targets.alias("t").join(b, F.col("t.source").eqNullSafe(F.col("b.source")), "left").join(end.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select("t.source", "t.source_size", "t.target", "t.whole", "t.more", F.col("b.k1").alias("c1"), F.col("b.k2").alias("c2"), "e.end")
-    return stored(limits.withColumnRenamed("source", "_of"), "mixing-limits")
+    last = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.k1") == F.col("b.k1")) & (F.col("a.k2") == F.col("b.k2")))
+    # rows of one place are equal, so the order is one of places
+    places = last.groupBy("a.source", "a.h").agg(F.first("a.size").alias("size"), F.sum("a.size").alias("words"), F.count("*").alias("rows"), F.first("b.more").alias("more"))
+    run = Window.partitionBy("source").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    left = F.col("more") - (F.sum("words").over(run) - F.col("words"))
+    some = F.when(F.col("size") == 0, F.when(left >= 0, F.col("rows")).otherwise(0)).otherwise(F.greatest(F.lit(0), F.least(F.col("rows"), F.floor(left / F.col("size") + 0.5))))
+    taken = places.withColumn("quota", some.cast("long")).where("quota > 0")
+    end = taken.groupBy("source").agg(F.max(F.struct("h", "quota", "rows")).alias("end"))
+    limits = targets.alias("t").join(b, F.col("t.source").eqNullSafe(F.col("b.source")), "left").join(end.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left")
+    limits = limits.select(F.col("t.source").alias("_of"), "t.source_size", "t.target", "t.whole", "t.more", F.col("b.k1").alias("c1"), F.col("b.k2").alias("c2"), "e.end")
+    out = stored(limits, "mixing-limits")
+    discard(level1, targets, cut2)
+    return out
 
 
 def _copied(placed: DataFrame, limits: DataFrame, max_epochs: float) -> DataFrame:
     """placed with source_size, target and _copies; limits has a row for each source."""
-    here = F.struct(F.col("_h").alias("h"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("_size").alias("size"))
-    same1, same2 = F.col("_k1") == F.col("c1"), F.col("_k2") == F.col("c2")
-    early = F.when(F.col("more") <= 0, False).when(F.col("c1").isNull(), True).otherwise((F.col("_k1") < F.col("c1")) | (same1 & ((F.col("_k2") < F.col("c2")) | (same2 & F.coalesce(here <= F.col("end"), F.lit(False))))))
-    joined = placed.join(limits, placed["source"].cast("string").eqNullSafe(limits["_of"]))
-    return joined.withColumn("_copies", F.least(F.ceil(F.lit(float(max_epochs))).cast("long"), (F.col("whole") + early.cast("long")).cast("long")))
+    same1, same2, at_end = F.col("_k1") == F.col("c1"), F.col("_k2") == F.col("c2"), F.col("_h") == F.col("end.h")
+    early = F.when(F.col("more") <= 0, False).when(F.col("c1").isNull(), True).otherwise((F.col("_k1") < F.col("c1")) | (same1 & ((F.col("_k2") < F.col("c2")) | (same2 & F.coalesce(F.col("_h") <= F.col("end.h"), F.lit(False))))))
+    joined = placed.join(limits, placed["source"].cast("string").eqNullSafe(limits["_of"])).withColumn("_early", early.cast("long"))
+    if not limits.where("end.quota < end.rows").isEmpty():
+        # the cut falls among equal rows: these are set aside, and as many as it asks for are early
+        cut = F.coalesce(same1 & same2 & at_end & (F.col("end.quota") < F.col("end.rows")), F.lit(False))
+        aside = stored(joined.where(cut).withColumn("_number", F.monotonically_increasing_id()), "mixing-equal")
+        joined = joined.where(~cut).unionByName(_first(aside).drop("_number"))
+    return joined.withColumn("_copies", F.least(F.ceil(F.lit(float(max_epochs))).cast("long"), F.col("whole") + F.col("_early")).cast("long"))
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    """rows of one place for each source (_of), numbered: _early is 1 for end.quota of them, the first by a hash of the number.
+
+    Counts of 65,536 hash ranges tell in which range the last one lies, so only the rows of one range are ordered.
+    """
+    d = rows.withColumn("_u", F.xxhash64("_number")).withColumn("_r", F.shiftrightunsigned("_u", 48))
+    counts = d.groupBy(F.col("_of").alias("s"), F.col("_r").alias("r")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy("s").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("before", F.sum("n").over(w) - F.col("n"))
+    d = d.join(counts, F.col("_of").eqNullSafe(F.col("s")) & (F.col("_r") == F.col("r")))
+    place = F.row_number().over(Window.partitionBy("_of", "_r").orderBy("_u", "_number"))
+    left = F.col("end.quota") - F.col("before")
+    sure = d.where((left <= 0) | (left >= F.col("n"))).withColumn("_early", (left > 0).cast("long"))
+    last = d.where((left > 0) & (left < F.col("n"))).withColumn("_early", (place <= left).cast("long"))
+    return sure.unionByName(last).drop("_u", "_r", "s", "r", "n", "before")
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +167,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, '') || '|' || coalesce(source, '')), 1, 15))::bigint as h
+         ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, '') || '|' || coalesce(source, '') || '|' || md5(coalesce(text, ''))), 1, 15))::bigint as h
   from documents),
 s as (
   select source, source_size, source_size * 3.0::double as cap,
