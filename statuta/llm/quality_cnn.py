@@ -228,13 +228,19 @@ def remainder(doc_id, modulus: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED) -> Model:
-    """Fits on at most ``rows`` labelled rows that aren't held out, those of the least seeded hash."""
-    known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    """Fits on at most ``rows`` labelled rows that aren't held out, those of the least seeded hash.
+
+    Of several documents with one id the smallest text stands for it, so that
+    the sample is bounded by the labels. Null ids and labels other than 0 and
+    1 are left out; a document labelled both 0 and 1 counts as both.
+    """
+    known = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
     known = known.where("doc_id is not null").where(remainder("doc_id", 5) != 0)
     chosen = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality").limit(rows)
     # a bounded dimension (``rows`` ids), so broadcast
     b = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", b.alias("text")).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "text").limit(2 * rows).collect()
+    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    got = joined.groupBy("doc_id", "quality").agg(F.min(b).alias("text")).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality").collect()
     return fit([bytes(r["text"]) for r in got], [r["quality"] for r in got], seed=seed)
 
 
