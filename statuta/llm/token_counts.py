@@ -2,11 +2,13 @@
 
 Texts are cut at white space: no pre-token of the tokenizer crosses it, so a
 text's count is the sum of its words' counts. Tier one is a compact table of
-frequent words' counts, found in a bounded sample and broadcast
-(``table_entries`` rows at most). Tier two is a cache in each Python worker
+the corpus's most frequent words and their counts, broadcast
+(``table_entries`` rows at most): every task counts the words of all its rows
+and hands on its ``TASK_ENTRIES`` most frequent, whatever it has read, and the
+sums of these summaries are ranked. Tier two is a cache in each Python worker
 that encodes a batch's misses with the library itself and is emptied when it
 reaches ``cache_entries``. Both tiers only save time; they hold what the
-library gives, so results don't depend on the sample.
+library gives, so results don't depend on what is in them.
 """
 
 from __future__ import annotations
@@ -23,8 +25,11 @@ from pyspark.sql import functions as F
 from .common import ship
 
 TABLE_ENTRIES = 20_000
-SAMPLE_ROWS = 2_000
 CACHE_ENTRIES = 1_000_000
+#: Words of a task's summary; and words a task counts at once: beyond, the rarer half goes.
+TASK_ENTRIES, TASK_WORDS = 4_000, 400_000
+#: Code points of a table's word, at most (longer ones are left to the caches).
+LONGEST = 64
 #: White space for Python's split, yet not for the tokenizer; texts with these are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _worker: dict = {}
@@ -77,28 +82,30 @@ def count_texts(texts: list[str], path: str, table: dict[str, int], cache: dict[
     return [sum(map(of, ws)) if ok else encode([t])[0] for t, ws, ok in zip(texts, words, plain, strict=True)]
 
 
-def _frequent(docs: DataFrame, path: str, sample_rows: int, entries: int) -> dict[str, int]:
-    """The most frequent words of the first rows of an input partition, and their counts; at most ``entries``."""
+def _frequent(docs: DataFrame, path: str, entries: int) -> dict[str, int]:
+    """The corpus's most frequent words and their counts; at most ``entries``."""
+    if not path.endswith(".json"):
+        return {}
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from statuta.llm import token_counts as own
+
         seen: Counter = Counter()
-        left = sample_rows
         for batch in batches:
-            for t in batch.column(0).slice(0, left).to_pylist():
-                seen.update(w for w in (t or "").split() if len(w) <= 64)
-            left -= batch.num_rows
-            if left <= 0:
-                break
-        top = [w for w, _ in seen.most_common(entries)]
-        yield pa.RecordBatch.from_pydict({"w": pa.array(top, pa.string())})
+            for t in batch.column(0).to_pylist():
+                if t:
+                    seen.update(t.split())
+                if len(seen) > own.TASK_WORDS:
+                    seen = Counter(dict(seen.most_common(own.TASK_WORDS // 2)))
+        top = [(w, n) for w, n in seen.most_common(own.TASK_ENTRIES) if len(w) <= own.LONGEST]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["w", "n"])
 
-    # a limit collected so runs the first input partition, and further ones only while rows are missing
-    words = [r["w"] for r in docs.select("text").mapInArrow(summaries, "w string").limit(entries).collect()]
-    words = [w for w in dict.fromkeys(words) if not _ODD_SPACE.search(w)]
-    return dict(zip(words, _counter(path)(words), strict=True)) if words and path.endswith(".json") else {}
+    words = docs.select("text").mapInArrow(summaries, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(entries)
+    words = [r["w"] for r in words.collect() if not _ODD_SPACE.search(r["w"])]
+    return dict(zip(words, _counter(path)(words), strict=True)) if words else {}
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 2048, sample_rows: int = SAMPLE_ROWS, table_entries: int = TABLE_ENTRIES, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 2048, table_entries: int = TABLE_ENTRIES, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens, over_limit), one for each row of docs (doc_id, text, ...).
 
     path: a ``.json`` file (library tokenizers) or ``.model`` (sentencepiece).
@@ -107,7 +114,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, sample_rows: int
     """
     spark = docs.sparkSession
     ship(spark)
-    table = spark.sparkContext.broadcast(_frequent(docs, path, sample_rows, table_entries))
+    table = spark.sparkContext.broadcast(_frequent(docs, path, table_entries))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import token_counts as own
