@@ -191,7 +191,7 @@ def text_features(b: Block) -> list[str]:
         out.append("comma")
     if ". " in t:
         out.append("sentences")
-    if "©" in t:
+    if "©" in t or t[:9].lower() == "copyright":
         out.append("copyright")
     if "|" in t or "»" in t or "·" in t:
         out.append("separators")
@@ -401,6 +401,12 @@ def _page(r: random.Random) -> str:
     side = [sidebar()] if r.random() < 0.2 else []
     if r.random() < 0.05:
         return f"<html><body>{''.join(before + after)}</body></html>"
+    if r.random() < 0.1:  # all in the cells of a table, without names
+        font = r.choice(("%s", "<font size=1>%s</font>", "<small>%s</small>"))
+        top = r.choice((links(2, 7, " "), links(2, 7, " | "), f"{words(1, 3)} {links(2, 5, ' ')}"))
+        bottom = r.choice((f"&copy; {r.randint(1995, 2024)} {words(1, 4)}", f"Copyright {r.randint(1995, 2024)} {words(1, 4)}", f"Copyright {words(1, 3)} | {links(1, 3, ' | ')}", links(2, 5, " | ")))
+        side = f"<td>{links(2, 6)}</td>" if r.random() < 0.4 else ""
+        return f"<html><body><table><tr><td>{top}</td></tr><tr>{side}<td>{content()}</td></tr><tr><td>{font.replace('%s', bottom)}</td></tr></table></body></html>"
     middle = content()
     if r.random() < 0.2:
         middle = f"<div class='{r.choice(('wrapper', 'container', 'page', 'row', 'main', 'content'))}'>{''.join(side)}{middle}</div>"

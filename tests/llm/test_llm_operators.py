@@ -199,7 +199,6 @@ def test_sampling_follows_the_lattice():
 
     share = dict(ways(" other"))
     total = sum(share.values())
-    assert np.exp(m._forward_long(" other")[-1]) == pytest.approx(total)
     seen = [tuple(x.tolist()) for x in m.encode(["other"] * 20_000, np.arange(20_000))]
     for way, p in sorted(share.items(), key=lambda x: -x[1])[:3]:
         assert seen.count(way) / 20_000 == pytest.approx(p / total, abs=0.01)
