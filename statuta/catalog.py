@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from . import corpus, schemas
 from .functions import scalars as S
 from .operators import abbreviations, caselaw, graph, legislation, lookup, oblique, provisions, replacing, rules
 from .plans import enrich
+from .session import map_rows, shared_folder, stored
+from .sources import readers, writers
 from .streaming import messages
 
 # -- a small rule manifest, in the documented format -----------------------------------
@@ -21,7 +24,7 @@ def _tokens(*spec: str) -> str:
     return json.dumps([kinds.get(t, {"ORTH": t}) for t in spec])
 
 
-#: id, family, uri_template, canonical_form, match_example, citation_type, is_canonical, is_neutral, tokens
+#: The manifest's columns. id, family, uri_template, canonical_form, match_example, citation_type, is_canonical, is_neutral, tokens
 RULES = [
     ("uksc", "UKSC", "http://cases.example/uksc/year/d1", "[dddd] UKSC d+", "[2022] UKSC 12", "NCitYearAbbrNum", True, True, ("[", "dddd", "]", "UKSC", "#")),
     ("uksc_a", "UKSC", "http://cases.example/uksc/year/d1", "[dddd] UKSC d+", "(2022) UKSC 12", "NCitYearAbbrNum", False, True, ("(", "dddd", ")", "UKSC", "#")),
@@ -76,13 +79,13 @@ def query(sql: str | None = None):
 @query(
     P
     + """
-select id as uri, concat('[', case_year, '] UKSC ', part) as citation_match, concat('[', case_year, '] UKSC ', part) as corrected_citation, case_year as year, concat('http://cases.example/uksc/', case_year, '/', part) as case_uri, true as is_neutral from t where kind = 0
-union all select id, concat('(', case_year, ') EWHC ', part, ' (Ch)'), concat('[', case_year, '] EWHC ', part, ' (Ch)'), case_year, concat('http://cases.example/ewhc/ch/', case_year, '/', part), true from t where kind = 1
-union all select id, concat('[', case_year, '] 1 W.L.R. ', part), concat('[', case_year, '] 1 WLR ', part), case_year, '#', false from t where kind = 2
-union all select id, concat('Case C-', part, '/12'), concat('Case C-', part, '/12'), '', '#', false from t where kind = 2"""
+select id as uri, 'uksc' as family, concat('[', case_year, '] UKSC ', part) as citation_match, concat('[', case_year, '] UKSC ', part) as corrected_citation, case_year as year, concat('http://cases.example/uksc/', case_year, '/', part) as case_uri, true as is_neutral from t where kind = 0
+union all select id, 'ewhc', concat('(', case_year, ') EWHC ', part, ' (Ch)'), concat('[', case_year, '] EWHC ', part, ' (Ch)'), case_year, concat('http://cases.example/ewhc/ch/', case_year, '/', part), true from t where kind = 1
+union all select id, 'wlr', concat('[', case_year, '] 1 W.L.R. ', part), concat('[', case_year, '] 1 WLR ', part), case_year, '#', false from t where kind = 2
+union all select id, 'euc', concat('Case C-', part, '/12'), concat('Case C-', part, '/12'), '', '#', false from t where kind = 2"""
 )
 def caselaw_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return caselaw.citations(texts(spark, sf_dir), manifest(spark)).select("uri", "citation_match", "corrected_citation", "year", "case_uri", "is_neutral")
+    return caselaw.citations(texts(spark, sf_dir), manifest(spark)).select("uri", "family", "citation_match", "corrected_citation", "year", "case_uri", "is_neutral")
 
 
 _KINDS = """case l_linenumber % 4 when 0 then 'PubYearAbbrNum' when 1 then 'PubYearNumAbbrNum' when 2 then 'PubNumAbbrNum' else 'Unknown' end"""
@@ -191,17 +194,26 @@ def document_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legislation.document_years(texts(spark, sf_dir))
 
 
+#: What exact_titles adds to each text: titles inside words, which don't count, and one that stands twice.
+_NEAR_WORDS = "concat(text, ' Not XCA ', act_year, ' nor CA ', act_year, 'x, but CA ', act_year, '; CA ', act_year, ' too.')"
+
+
 @query(
     P
     + ", a as ("
     + corpus.ACTS
     + ")"
     + _ENHANCED
-    + """ select id as uri, candidate_titles as title, cast(strpos(text, candidate_titles) - 1 as int) as start, cast(strpos(text, candidate_titles) - 1 + length(candidate_titles) as int) as "end",
- 100 as confidence, ref as href, citation as canonical from t join e on (cast(e.year as varchar) = act_year or cast(e.year as varchar) = case_year) and contains(text, candidate_titles)"""
+    + f""", z as (select id, {_NEAR_WORDS} as x, act_year, case_year from t),
+ h as (select id, candidate_titles as title, ref, citation, unnest(list_filter(generate_series(1, length(x)), lambda i: substr(x, i, length(candidate_titles)) = candidate_titles
+   and not regexp_matches(case when i > 1 then substr(x, i - 1, 1) else '' end, '\\w') and not regexp_matches(substr(x, i + length(candidate_titles), 1), '\\w'))) as i
+  from z join e on (cast(e.year as varchar) = act_year or cast(e.year as varchar) = case_year) and contains(x, candidate_titles))
+ select id as uri, title, cast(i - 1 as int) as start, cast(i - 1 + length(title) as int) as "end", 100 as confidence, ref as href, citation as canonical from h"""
 )
 def exact_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legislation.exact_hits(texts(spark, sf_dir), _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "href", "canonical")
+    p = corpus.paragraphs(spark, sf_dir)
+    t = p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.regexp_replace("markup", "<[^>]+>", "").alias("text"), "act_year")
+    return legislation.exact_hits(t.select("uri", F.expr(_NEAR_WORDS).alias("text")), _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "href", "canonical")
 
 
 @query(
@@ -215,7 +227,12 @@ def phrase_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("uri").cast("bigint").alias("uri"), "phrase").distinct()
 
 
-@query()
+@query(
+    P
+    + """, f as (select id, replace(text, 'Companies Act', 'Compannies Act') as x, concat('Compannies Act ', act_year) as m, concat('Companies Act ', act_year) as title, 97 as score from t where kind in (2, 3)
+  union all select id, text, concat('Finance Act ', act_year), concat('Finance Act ', act_year), 100 from t where kind = 0)
+ select id as uri, title, cast(strpos(x, m) - 1 as int) as start, cast(strpos(x, m) - 1 + length(m) as int) as "end", score as confidence, m as detected_ref from f"""
+)
 def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = texts(spark, sf_dir).withColumn("text", F.replace("text", F.lit("Companies Act"), F.lit("Compannies Act")))
     return legislation.fuzzy_hits(d, _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "detected_ref")
@@ -237,10 +254,27 @@ def overlap_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legislation.resolve_overlaps(spark.sql(_HITS.format(end="end"))).select("uri", "idx", "start", "end", "confidence")
 
 
-@query(P + " select id as uri, concat('Companies Act ', act_year) as detected_ref, concat('http://statutes.example/', act_year, '/2') as href from t where kind in (2, 3) union all select id, concat('Finance Act ', act_year), concat('http://statutes.example/', act_year, '/1') from t where kind = 0")
+@query(
+    P
+    + """ select id as uri, concat('Companies Act ', act_year) as detected_ref, concat('http://statutes.example/', act_year, '/2') as href from t where kind in (2, 3)
+ union all select id, concat('CA ', act_year), concat('http://statutes.example/', act_year, '/2') from t where kind = 2
+ union all select id, concat('Finance Act ', act_year), concat('http://statutes.example/', act_year, '/1') from t where kind = 0"""
+)
 def statute_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _lookup(spark, sf_dir).where("acronymcitation is null or candidate_titles <> acronymcitation")
-    return legislation.matches(texts(spark, sf_dir), known).select("uri", "detected_ref", "href")
+    return legislation.matches(texts(spark, sf_dir), _lookup(spark, sf_dir)).select("uri", "detected_ref", "href")
+
+
+@query(
+    P
+    + """ , h as (select id, concat('Companies Act ', act_year) as title, 1 as pass, strpos(text, concat('Companies Act ', act_year)) - 1 as start from t where kind in (2, 3)
+ union all select id, concat('CA ', act_year), 0, strpos(text, concat('CA ', act_year)) - 1 from t where kind = 2
+ union all select id, concat('Finance Act ', act_year), 1, strpos(text, concat('Finance Act ', act_year)) - 1 from t where kind = 0)
+ select id as uri, title, string_agg(concat(pass, ':', start), ',' order by pass, start) as places from h group by id, title"""
+)
+def title_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits by document and title: exact ones first, then fuzzy ones, in order."""
+    found = legislation.by_title(legislation.matches(texts(spark, sf_dir), _lookup(spark, sf_dir)))
+    return found.select("uri", "title", F.array_join(F.transform("hits", lambda x: F.concat_ws(":", x["pass"].cast("string"), x["start"].cast("string"))), ",").alias("places"))
 
 
 # -- indirect mentions and sections --------------------------------------------------------------
@@ -250,19 +284,19 @@ _M = ", m as (select uri, para_no as m_para, concat('Finance Act ', act_year) as
 
 @query(P + _M + " select u.uri, para_no as para, cast(strpos(markup, 'the Act') - 1 as int) as start, detected_leg, href, m_para from p u join m on m.uri = u.uri and m_para < para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para desc) = 1")
 def oblique_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     return oblique.latest_before(oblique.uses(p).where("kind = 'act'"), oblique.mentions(p)).select("uri", "para", "start", "detected_leg", "href", "m_para")
 
 
 @query(P + _M + " select u.uri, para_no as para, concat('the ', u.act_year, ' Act') as detected_ref, detected_leg, href, m_para from p u join m on m.uri = u.uri and m.act_year = u.act_year and m_para <= para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para) = 1")
 def oblique_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     return oblique.first_of_year(oblique.uses(p).where("kind = 'numbered_act'"), oblique.mentions(p)).select("uri", "para", "detected_ref", "detected_leg", "href", "m_para")
 
 
 @query(P + " select uri, para_no as para, concat('section ', sec, '(', line, ')') as section, sec as section_no, cast(strpos(markup, '<ref') - strpos(markup, 'section ') - length(concat('section ', sec, '(', line, ')')) as int) as gap, concat('http://statutes.example/', act_year, '/1/section/', sec) as section_href, concat(act_year, ' c. 1 s. ', sec) as section_canonical from p where kind = 0")
 def provision_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     pairs = provisions.close_pairs(provisions.sections(p), oblique.mentions(p))
     return pairs.select("uri", "para", "section", "section_no", "gap", S.section_href(F.col("href"), F.col("section_no")).alias("section_href"), S.section_canonical(F.col("canonical"), F.col("section_no")).alias("section_canonical"))
 
@@ -275,7 +309,7 @@ def provision_band(spark: SparkSession, sf_dir: str) -> DataFrame:
  qualify row_number() over (partition by u.uri, para_no order by d_para desc) = 1"""
 )
 def provision_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return provisions.resolved(corpus.paragraphs(spark, sf_dir)).select("uri", "para", "section", "d_para", "section_href")
+    return provisions.resolved(stored(corpus.paragraphs(spark, sf_dir), "paragraphs")).select("uri", "para", "section", "d_para", "section_href")
 
 
 @query(P + " select uri, para_no as para, cast(strpos(markup, 'section ') - 1 as int) as start, case when kind = 0 then concat('section ', sec, '(', line, ')') else concat('section ', sec) end as section, sec as section_no from p where kind <> 2")
@@ -320,20 +354,38 @@ def replacement_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("uri", "kind", *[F.get("fields", F.lit(k)).alias(f"f{k}") for k in range(5)])
 
 
-def _first_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir).where("kind = 3").withColumn("uri", F.concat_ws("#", "uri", F.col("para_no").cast("string")))
-    docs = p.select("uri", F.concat(F.lit("<judgment><header>Companies Act "), "act_year", F.lit("</header>"), "markup", F.lit("</judgment>")).alias("xml"))
-    leg = p.select("uri", F.lit("leg").alias("kind"), F.array(F.concat(F.lit("Companies Act "), "act_year"), F.concat(F.lit("http://statutes.example/"), "act_year", F.lit("/2")), F.concat("act_year", F.lit(" c. 2"))).alias("fields"))
-    return replacing.splice_first_stage(docs, replacing.tags(leg))
-
-
-@query(
-    P
-    + """ select id as uri, concat('<judgment><header>Companies Act ', act_year, '</header>', replace(markup, concat('Companies Act ', act_year),
- concat('<ref uk:type="legislation" href="http://statutes.example/', act_year, '/2" uk:canonical="', act_year, ' c. 2" uk:origin="OWN">Companies Act ', act_year, '</ref>')), '</judgment>') as xml from t where kind = 3"""
-)
+#: Paragraphs with their case, statute and abbreviation tags, as the first stage writes them.
+_CASE = "concat('<ref uk:type=\"case\" href=\"', {href}, '\" uk:isNeutral=\"{neutral}\" uk:canonical=\"', {canonical}, '\"', {year}, ' uk:origin=\"OWN\">', {text}, '</ref>')"
+_LEG = "concat('<ref uk:type=\"legislation\" href=\"http://statutes.example/', act_year, '/{n}\" uk:canonical=\"', act_year, ' c. {n}\" uk:origin=\"OWN\">{title} ', act_year, '</ref>')"
+_YEAR = "concat(' uk:year=\"', case_year, '\"')"
+_TAGS = {
+    "uksc": _CASE.format(href="concat('http://cases.example/uksc/', case_year, '/', part)", neutral="true", canonical="concat('[', case_year, '] UKSC ', part)", year=_YEAR, text="concat('[', case_year, '] UKSC ', part)"),
+    "ewhc": _CASE.format(href="concat('http://cases.example/ewhc/ch/', case_year, '/', part)", neutral="true", canonical="concat('[', case_year, '] EWHC ', part, ' (Ch)')", year=_YEAR, text="concat('(', case_year, ') EWHC ', part, ' (Ch)')"),
+    "wlr": _CASE.format(href="'#'", neutral="false", canonical="concat('[', case_year, '] 1 WLR ', part)", year=_YEAR, text="concat('[', case_year, '] 1 W.L.R. ', part)"),
+    "euc": _CASE.format(href="'#'", neutral="false", canonical="concat('Case C-', part, '/12')", year="''", text="concat('Case C-', part, '/12')"),
+    "finance": _LEG.format(n=1, title="Finance Act"),
+    "companies": _LEG.format(n=2, title="Companies Act"),
+    "ca": _LEG.format(n=2, title="CA"),
+    "ced": "'<abbr title=\"Customs and Excise Duties\" uk:origin=\"OWN\">CED</abbr>'",
+}
+#: Kind by kind; what is put in braces differs between the stages.
+_SPLICED = """case kind
+  when 0 then concat('<p>As held in ', {uksc}, ', ', {section0}, ' of the ', {finance}, ' applies.</p>')
+  when 1 then concat('<p>Under ', {the_act}, ' and ', {section1}, ' the claim ', {ewhc}, ' failed; ', {numbered}, ' is not in point.</p>')
+  when 2 then concat('<p>The Customs and Excise Duties ("', {ced}, '") and ', {companies}, ' ("', {ca}, '") were cited in ', {wlr}, ' and ', {euc}, '.</p>')
+  else concat('<p>Then ', {section3}, ' of it and the ', {companies}, '.</p>') end"""
+_UNTOUCHED = {"section0": "concat('section ', sec, '(', line, ')')", "section1": "concat('section ', sec)", "section3": "concat('section ', sec)", "the_act": "'the Act'", "numbered": "concat('the ', act_year, ' Act')"}
+
+
+@query(P + " select id as uri, concat('<judgment><header>Companies Act ', act_year, '</header>', " + _SPLICED.format(**_TAGS, **_UNTOUCHED) + ", '</judgment>') as xml from t")
 def splice_first_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _first_stage(spark, sf_dir)
+    """Every paragraph a document, with what the three annotators find in it; the header is left alone."""
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
+    uri, plain = F.concat_ws("#", "uri", F.col("para_no").cast("string")), F.regexp_replace("markup", "</?ref[^>]*>", "")
+    docs = p.select(uri.alias("uri"), F.concat(F.lit("<judgment><header>Companies Act "), "act_year", F.lit("</header>"), plain, F.lit("</judgment>")).alias("xml"))
+    text = p.select(uri.alias("uri"), F.regexp_replace("markup", "<[^>]+>", "").alias("text"))
+    cases, statutes = caselaw.citations(text, manifest(spark)), legislation.matches(text, _lookup(spark, sf_dir))
+    return replacing.splice_first_stage(docs, replacing.tags(replacing.wire(cases, statutes, abbreviations.definitions(text))))
 
 
 @query(
@@ -345,7 +397,7 @@ def splice_first_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
  select uri, concat('<judgment>', string_agg(markup, '' order by para_no), '</judgment>') as xml from x group by uri"""
 )
 def splice_second_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     docs = p.groupBy("uri").agg(F.concat(F.lit("<judgment>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_no", "markup"))), lambda x: x["markup"]), ""), F.lit("</judgment>")).alias("xml"))
     found = oblique.latest_before(oblique.uses(p).where("kind = 'act'"), oblique.mentions(p))
     return replacing.splice_second_stage(docs, replacing.section_tags(found))
@@ -369,13 +421,17 @@ def paragraph_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replacing.paragraph_rows(d).select(F.col("uri").cast("bigint").alias("page_id"), "para_no", "markup")
 
 
-@query(P + " select id as uri, regexp_replace(markup, '</?ref[^>]*>', '', 'g') as xml from t")
+#: Own refs inside each other, a foreign one, an earlier run's stamps and another date.
+_EARLIER = ('<ref uk:origin="OWN">a <ref>b</ref></ref><ref uk:origin="other">c</ref><FRBRdate date="1" name="enriched"/><FRBRdate date="2" name="made"/><uk:enrichment-engine>0</uk:enrichment-engine>', 'a b<ref uk:origin="other">c</ref><FRBRdate date="2" name="made"/>')
+
+
+@query(P + f" select id as uri, concat(regexp_replace(markup, '</?ref[^>]*>', '', 'g'), '{_EARLIER[1]}') as xml from t")
 def sanitised_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = corpus.paragraphs(spark, sf_dir)
-    return replacing.sanitised(p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.col("markup").alias("xml")))
+    return replacing.sanitised(p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.concat("markup", F.lit(_EARLIER[0])).alias("xml")))
 
 
-_JUDGMENT = """<akomaNtoso><judgment><meta><identification><FRBRManifestation><FRBRdate date="2020-01-01" name="made"/></FRBRManifestation></identification><proprietary></proprietary></meta><header/><judgmentBody><content>"""
+_JUDGMENT = """<akomaNtoso xmlns:uk="urn:statuta:akn"><judgment><meta><identification><FRBRManifestation><FRBRdate date="2020-01-01" name="made"/></FRBRManifestation></identification><proprietary></proprietary></meta><header/><judgmentBody><content>"""
 
 
 def _judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,7 +447,26 @@ def body_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replacing.body_rows(d)
 
 
-@query()
+_REF = "concat('<ref href=\"http://statutes.example/', {year}, '/{n}{more}\" uk:canonical=\"', {year}, ' c. {n}{canonical}\" uk:type=\"legislation\" uk:origin=\"OWN\">', {text}, '</ref>')"
+#: "the Act" means the paragraph's before; "the 1995 Act" the first of that year so far; sections the statute close by.
+_RESOLVED = {
+    "section0": _REF.format(year="act_year", n=1, more="/section/', sec, '/', line, '", canonical=" s. ', sec, '", text="concat('section ', sec, '(', line, ')')"),
+    "section1": _REF.format(year="last_year", n=1, more="/section/', sec, '", canonical=" s. ', sec, '", text="concat('section ', sec)"),
+    "section3": _REF.format(year="act_year", n=2, more="/section/', sec, '", canonical=" s. ', sec, '", text="concat('section ', sec)"),
+    "the_act": _REF.format(year="last_year", n=1, more="", canonical="", text="'the Act'"),
+    "numbered": "case when n is null then concat('the ', act_year, ' Act') else " + _REF.format(year="act_year", n="', n, '", more="", canonical="", text="concat('the ', act_year, ' Act')") + " end",
+}
+
+
+@query(
+    P
+    + ", a as (select uri, para_no + 1 as para_no, act_year as last_year from p where kind = 0), m as (select uri, para_no as m_para, act_year as m_year, case when kind = 0 then '1' else '2' end as n from p where kind <> 1)"
+    + ", f as (select p.uri, para_no, n from p join m on m.uri = p.uri and m_year = act_year and m_para <= para_no where kind = 1 qualify row_number() over (partition by p.uri, para_no order by m_para) = 1)"
+    + ", x as (select p.uri, p.para_no, "
+    + _SPLICED.format(**_TAGS, **_RESOLVED)
+    + " as markup from p left join a on a.uri = p.uri and a.para_no = p.para_no left join f on f.uri = p.uri and f.para_no = p.para_no)"
+    + f" select uri, concat('{_JUDGMENT.replace('</proprietary>', '<uk:enrichment-engine xmlns:uk="urn:statuta:akn">1.0.0</uk:enrichment-engine></proprietary>')}', string_agg(markup, '' order by para_no), '</content></judgmentBody></judgment></akomaNtoso>') as xml, cast(null as varchar) as error from x group by uri"
+)
 def enrich_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole plan; the stamp's time is taken off so that runs compare."""
     out = enrich.enrich(_judgments(spark, sf_dir), manifest(spark), _lookup(spark, sf_dir))
@@ -401,15 +476,21 @@ def enrich_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- graph -------------------------------------------------------------------------------------------------
 
 
-@query(P + " select dst, count(*) as cited_by from (select distinct uri, concat('http://statutes.example/', act_year, '/1') as dst from p where kind = 0 union select distinct uri, concat('http://cases.example/uksc/', case_year, '/', part) from p where kind = 0) group by dst")
+@query(
+    P
+    + """ select dst, count(*) as cited_by from (select distinct uri, concat('http://statutes.example/', act_year, '/1') as dst from p where kind = 0
+ union select distinct uri, concat('http://cases.example/uksc/', case_year, '/', part) from p where kind = 0
+ union select distinct uri, concat('http://cases.example/ewhc/ch/', case_year, '/', part) from p where kind = 1) group by dst"""
+)
 def citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
-    return graph.in_degree(graph.edges((_case_rows(spark, sf_dir), "case_uri"), (oblique.mentions(p), "href")))
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
+    cases = caselaw.citations(p.select("uri", F.regexp_replace("markup", "<[^>]+>", "").alias("text")), manifest(spark))
+    return graph.in_degree(graph.edges((cases, "case_uri"), (oblique.mentions(p), "href")))
 
 
 @query(P + " select distinct concat('http://statutes.example/', act_year, '/1/section/', sec) as dst, concat('http://statutes.example/', act_year, '/1') as parent from p where kind = 0")
 def section_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = corpus.paragraphs(spark, sf_dir)
+    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     defs = provisions.definitions(provisions.close_pairs(provisions.sections(p), oblique.mentions(p)))
     return graph.parents(defs.select(F.col("section_href").alias("dst")))
 
@@ -435,3 +516,189 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.to_json(F.struct(message.alias("Message"), F.when(F.col("user_id") % 7 == 0, F.lit("s3:TestEvent")).alias("Event"), bucket.alias("s3")))
     records = e.select("event_id", body.alias("body"), F.when(F.col("event_type") != "error", F.create_map(F.lit("trigger_enrichment"), F.lit("1"))).otherwise(F.create_map(F.lit("other"), F.lit("1"))).alias("attributes"))
     return messages.routed(messages.decoded(messages.subscribed(messages.without_tests(records))), "back").select("event_id", "status", "uri_reference", "callback")
+
+
+@query("select user_id, max(ts) as last_asked, count(*) as messages from events group by user_id")
+def last_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each document was last asked for."""
+    return messages.last_asked(table(spark, sf_dir, "events").select(F.col("user_id").alias("uri_reference"), "ts")).select(F.col("uri_reference").alias("user_id"), "last_asked", "messages")
+
+
+@query(
+    """select distinct concat('d/', user_id) as uri, case when user_id % 10 = 3 then 'no document' when user_id % 10 = 4 then 'no proprietary element' else 'enriched' end as outcome
+ from events where user_id % 7 <> 0"""
+)
+def stream_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of messages; the documents they ask for, or the reason why not."""
+    source = f"{sf_dir}/events.parquet"
+    # a pattern, since a stream's source is a folder or a pattern
+    e = spark.readStream.schema(spark.read.parquet(source).schema).parquet(f"{sf_dir}/events.parque[t]")
+    message = F.to_json(F.struct(F.lit("published").alias("status"), F.concat(F.lit("d/"), F.col("user_id").cast("string")).alias("uri_reference")))
+    body = F.to_json(F.struct(message.alias("Message"), F.when(F.col("user_id") % 7 == 0, F.lit("s3:TestEvent")).alias("Event")))
+    sent = e.select(F.col("event_id").cast("string").alias("message_id"), F.col("ts").cast("timestamp").alias("ts"), body.alias("body"))
+    users = table(spark, sf_dir, "events").select("user_id").distinct().where("user_id % 10 <> 3")
+    stamp = F.when(F.col("user_id") % 10 != 4, F.lit("<proprietary></proprietary>")).otherwise(F.lit(""))
+    docs = users.select(F.concat(F.lit("d/"), F.col("user_id").cast("string")).alias("uri"), F.concat(F.lit('<j><FRBRManifestation><FRBRdate date="1" name="x"/></FRBRManifestation>'), stamp, F.lit("</j>")).alias("xml"))
+    out = _folder(spark, "stream")
+    messages.enrich_stream(sent, docs, replacing.stamped, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    done = writers.read_documents(spark, f"{out}/table/documents").where("xml like '%enriched%'").select("uri", F.lit("enriched").alias("outcome"))
+    return done.unionByName(spark.read.schema("uri string, error string").parquet(f"{out}/table/errors").select("uri", F.col("error").alias("outcome")))
+
+
+@query("select event_id, concat('d/', user_id) as uri, case when user_id % 3 = 0 then concat('<d a=\"1\" b=\"', user_id, '\"></d>') end as xml from events")
+def message_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object events with the document each names, canonical."""
+    e = table(spark, sf_dir, "events")
+    key = F.concat(F.lit("d%2F"), F.col("user_id").cast("string"), F.lit(".xml"))
+    body = F.to_json(F.struct(F.struct(F.struct(F.lit("in").alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")).alias("s3")))
+    users = e.select("user_id").distinct().where("user_id % 3 = 0")
+    docs = users.select(F.concat(F.lit("d/"), F.col("user_id").cast("string")).alias("uri"), F.concat(F.lit("<d b='"), F.col("user_id").cast("string"), F.lit("' a='1'/>")).alias("xml"))
+    return messages.objects(e.select("event_id", body.alias("body")), docs).select("event_id", "uri", "xml")
+
+
+# -- sources and sinks ------------------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/statuta/{name}-{uuid.uuid4().hex}"
+
+
+def _put(spark: SparkSession, path: str, lines: DataFrame, column: str) -> None:
+    """Files of given names (name, and a column with the text), for sources that read names; a small table."""
+    for r in lines.collect():
+        files, p = writers._files(spark, f"{path}/{r['name']}")
+        out = files.create(p, True)
+        out.write(bytearray(r[column].encode()))
+        out.close()
+
+
+def _values(rows: list[tuple], columns: str) -> str:
+    quoted = lambda x: "null" if x is None else "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x).lower()
+    return "select * from (values " + ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows) + f") v({columns})"
+
+
+def _pattern(rule: tuple) -> str:
+    spec = [{"ORTH": "Case"}, {"SHAPE": "C-number"}] if "C-#" in rule[8] else json.loads(_tokens(*rule[8]))
+    return json.dumps({"id": rule[0], "description": rule[1], "label": "CITATION", "pattern": spec})
+
+
+@query("select concat('court/2024/', n_nationkey) as uri, concat('<j>', n_name, ' é</j>') as xml from nation")
+def judgment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, n = _folder(spark, "judgments"), F.col("n_nationkey").cast("string")
+    docs = table(spark, sf_dir, "nation").select(F.concat(F.lit("court%2F2024%2F"), n, F.lit(".xml")).alias("name"), F.concat(F.lit("<j>"), "n_name", F.lit(" é</j>")).alias("xml"))
+    _put(spark, path, docs.unionByName(docs.limit(1).withColumn("name", F.lit("notes.txt"))), "xml")
+    return readers.judgments(spark, path)
+
+
+@query("select concat('u', n_nationkey) as uri, 'abb' as kind, n_name as short, 'a \"long\" form' as long from nation")
+def replacement_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, n = _folder(spark, "replacements"), F.col("n_nationkey").cast("string")
+    rows = table(spark, sf_dir, "nation").select(F.concat(F.lit("u"), n).alias("uri"), F.lit("abb").alias("kind"), F.array("n_name", F.lit('a "long" form')).alias("fields"))
+    _put(spark, path, replacing.encoded(rows).select(F.concat("uri", F.lit("_replacements.txt")).alias("name"), "value"), "value")
+    return replacing.decoded(readers.replacements(spark, path)).select("uri", "kind", F.get("fields", F.lit(0)).alias("short"), F.get("fields", F.lit(1)).alias("long"))
+
+
+@query(_values([(r[0], r[2], r[3], r[6], r[7], _pattern(r)) for r in RULES], "id, uri_template, canonical_form, is_canonical, is_neutral, pattern"))
+def manifest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns full of quotes, doubled in the file; a file of another kind beside it."""
+    path = _folder(spark, "manifest")
+    manifest(spark).coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    manifest(spark).select("id").write.mode("append").text(path)
+    return readers.manifest(spark, path).select("id", "uri_template", "canonical_form", "is_canonical", "is_neutral", "pattern")
+
+
+@query(_values([(r[0], k, *(next(iter(t.items())))) for r in RULES for k, t in enumerate(json.loads(_pattern(r))["pattern"])], "id, place, attribute, value"))
+def published_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules published twice, read back by line: the newest version only."""
+    path = _folder(spark, "patterns")
+    m = manifest(spark)
+    if not writers.rules(m.limit(3), path) or not writers.rules(m, path):
+        raise RuntimeError("the rules' own examples fail")
+    lines = writers.published(spark, path)
+    tokens = lines.select(F.from_json("value", schemas.PATTERN).alias("p")).select("p.id", F.posexplode("p.pattern").alias("place", "t"))
+    return tokens.select("id", F.col("place").cast("int").alias("place"), F.explode("t").alias("attribute", "value"))
+
+
+@query("select concat('c/', c_custkey) as uri, concat('<d>', case when c_custkey % 3 = 0 then 'second ' else 'first ' end, c_name, '</d>') as xml from customer where c_custkey % 5 <> 1 or c_custkey % 3 = 0")
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written, some written anew and some added, twice."""
+    path, c = _folder(spark, "documents"), table(spark, sf_dir, "customer")
+    version = lambda rows, word: rows.select(F.concat(F.lit("c/"), F.col("c_custkey").cast("string")).alias("uri"), F.concat(F.lit(f"<d>{word} "), "c_name", F.lit("</d>")).alias("xml"))
+    for rows, word in ((c.where("c_custkey % 5 <> 1"), "first"), (c.where("c_custkey % 3 = 0"), "second"), (c.where("c_custkey % 3 = 0"), "second")):
+        writers.documents(version(rows, word), path)
+    return writers.read_documents(spark, path)
+
+
+_XSD = """<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="d"><xs:complexType><xs:sequence>
+<xs:element name="n" type="xs:integer"/><xs:element name="name" type="xs:string"/></xs:sequence></xs:complexType></xs:element></xs:schema>"""
+
+
+@query("select case when n_nationkey % 5 = 0 then -1 else cast(n_nationkey as bigint) end as n, n_nationkey % 5 <> 0 as valid, count(*) as documents from nation group by 1, 2")
+def xsd_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against an XSD; every fifth has a word for its number."""
+    path = _folder(spark, "validated")
+    number = F.when(F.col("n_nationkey") % 5 == 0, F.lit("five")).otherwise(F.col("n_nationkey").cast("string"))
+    docs = table(spark, sf_dir, "nation").select(F.concat(F.lit("<d><n>"), number, F.lit("</n><name>"), "n_name", F.lit("</name></d>")).alias("xml"))
+    _put(spark, path, spark.createDataFrame([("documents.xsd", _XSD)], "name string, xsd string"), "xsd")
+    read = readers.validated(docs, "n long, name string", f"{path}/documents.xsd").select("parsed.*")
+    return read.groupBy(F.when(F.col("invalid").isNull(), F.col("n")).otherwise(-1).alias("n"), F.col("invalid").isNull().alias("valid")).agg(F.count("*").alias("documents"))
+
+
+# -- scalars over whole tables --------------------------------------------------------------------------------------
+
+_TYPES = [
+    ("NCitYearAbbrNum", "[dddd] UKSC d+", "concat('(', y, ') UKSC ', a)", "concat('[', y, '] UKSC ', a)"),
+    ("NCitYearAbbrNumDiv", "[dddd] EWHC d+ (Ch)", "concat('(', y, ') EWHC ', a, ' Ch')", "concat('[', y, '] EWHC ', a, ' (Ch)')"),
+    ("PubYearAbbrNum", "[dddd] PNLR d+", "concat('[', y, '] P.N.L.R ', a)", "concat('[', y, '] PNLR ', a)"),
+    ("NCitYearAbbrNumUnderNumDiv", "[dddd] XTU d1_d2 (A)", "concat('(', y, ') XTU ', a, '_', b, ' (A)')", "concat('[', y, '] XTU ', a, '_', b, ' (A)')"),
+    ("NCitYearAbrrNumStrokeNum", "[dddd] XTS d1/d2", "concat('(', y, ') XTS ', a, '/', b)", "concat('[', y, '] XTS ', a, '/', b)"),
+    ("PubYearNumAbbrNum", "[dddd] d1 WLR d2", "concat('(', y, ') ', a, ' W.L.R. ', b)", "concat('[', y, '] ', a, ' WLR ', b)"),
+    ("PubAbbrNumAbbrNum", "AB d1 CD d2", "concat('A.B. ', a, ' C.D. ', b)", "concat('AB ', a, ' CD ', b)"),
+    ("PubNumAbbrNum", "d1 ExD d2", "concat(a, ' Ex.D. ', b)", "concat(a, ' ExD ', b)"),
+    ("EUCCase", "Case C-d1/d2", "concat('C-', a, '/', b)", "concat('Case C-', a, '/', b)"),
+    ("EUTCase", "Case T-d1/d2", "concat('T-', a, '/', b)", "concat('Case T-', a, '/', b)"),
+    ("Unknown", "[dddd] d+", "concat('x', a)", "cast(null as varchar)"),
+]
+_PARTS = "select l_orderkey, l_linenumber, l_partkey, cast(year(l_shipdate) as string) as y, cast(l_suppkey as string) as a, cast(l_partkey as string) as b, (l_partkey + l_linenumber) % 11 as k from lineitem"
+
+
+def _by_kind(values: list[str]) -> str:
+    return "case k " + " ".join(f"when {k} then {v}" for k, v in enumerate(values)) + " end"
+
+
+@query(f"select l_orderkey, l_linenumber, l_partkey, {_by_kind([repr(t[0]) for t in _TYPES])} as kind, {_by_kind([t[3] for t in _TYPES])} as corrected_citation from ({_PARTS}) x")
+def citation_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ten types, and an unknown one."""
+    corpus.views(spark, sf_dir)
+    d = spark.sql(f"select *, {_by_kind([repr(t[0]) for t in _TYPES])} as kind, {_by_kind([t[2] for t in _TYPES])} as m, {_by_kind([repr(t[1]) for t in _TYPES])} as form from ({_PARTS}) x")
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "kind", S.corrected_citation(F.col("kind"), F.col("m"), F.col("form")).alias("corrected_citation"))
+
+
+@query(
+    """select o_orderkey, concat('ewhc/ch/', o_orderkey, '.xml.d') as document_key, concat('a &lt;b&gt; &amp; &quot;', o_orderpriority, '&quot; &#x27;c&#x27;') as escaped,
+ case when o_orderkey % 2 = 0 then '<?xml version="1.0"?>' else '' end as declaration, concat('<d>', o_orderpriority, '</d>') as rest, o_orderpriority as title, '1998' as title_year from orders"""
+)
+def document_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, escapes, declarations and titles of documents."""
+    o = table(spark, sf_dir, "orders")
+    n, p = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    xml = F.concat(F.when(F.col("o_orderkey") % 2 == 0, F.lit('<?xml version="1.0"?>')).otherwise(F.lit("")), F.lit("<d>"), p, F.lit("</d>"))
+    declaration, rest = S.xml_declaration(xml)
+    title, year = S.split_title_year(F.concat(p, F.lit("1998")))
+    escaped = S.html_escape(F.concat(F.lit('a <b> & "'), p, F.lit("\" 'c'")))
+    return o.select("o_orderkey", S.document_key(F.concat(F.lit("ewhc%2Fch%2F"), n, F.lit(".xml.d.xml"))).alias("document_key"), escaped.alias("escaped"), declaration.alias("declaration"), rest.alias("rest"), title.alias("title"), year.alias("title_year"))
+
+
+@query("select s_suppkey, concat('<s a=\"', s_suppkey, '\" b=\"1\"><n>', s_name, '</n></s>') as xml, true as same from supplier")
+def canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical forms, and whether two spellings of a document are equal."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey").cast("string")
+    docs = s.select("s_suppkey", F.concat(F.lit("<?xml version='1.0'?><s b='1' a='"), k, F.lit("'><n>"), "s_name", F.lit("</n></s>")).alias("one"), F.concat(F.lit('<s  a="'), k, F.lit('" b="1" >\n <n>'), "s_name", F.lit("</n>\n</s>")).alias("two"))
+
+    def of(row: dict):
+        from statuta.functions.markup import canonical, equal_xml
+
+        yield {"s_suppkey": row["s_suppkey"], "xml": canonical(row["one"]), "same": equal_xml(row["one"], row["two"])}
+
+    return map_rows(docs, f"s_suppkey {docs.schema['s_suppkey'].dataType.simpleString()}, xml string, same boolean", of)

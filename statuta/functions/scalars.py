@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Citation types by the numbers that a citation holds.
+#: Citation types by the numbers that a citation holds.
 YEAR_NUMBER = ("NCitYearAbbrNum", "NCitYearAbbrNumDiv", "PubYearAbbrNum")
 YEAR_TWO_NUMBERS = ("NCitYearAbbrNumUnderNumDiv", "NCitYearAbrrNumStrokeNum", "PubYearNumAbbrNum")
 TWO_NUMBERS = ("PubAbbrNumAbbrNum", "PubNumAbbrNum", "EUCCase", "EUTCase")
@@ -116,8 +116,8 @@ def xml_declaration(xml: Column) -> tuple[Column, Column]:
 
 
 def document_key(object_key: Column) -> Column:
-    """An object's key, URL-decoded, without .xml."""
-    return F.replace(F.url_decode(object_key), F.lit(".xml"), F.lit(""))
+    """An object's key, URL-decoded, without .xml at the end."""
+    return F.regexp_replace(F.url_decode(object_key), r"\.xml$", "")
 
 
 def stamp_time() -> Column:

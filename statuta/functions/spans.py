@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed patterns of references in text.
-SECTION = r"([sS]ections?\W*[0-9]+|\b[sS]+\W*[0-9]+)(\W*\([0-9]+\))?"
-OBLIQUE = r"(?:the|this|that|The|This|That)\s(?:Act)"
-NUMBERED = r"(?:the|this|that|The|This|That)\s(?:[0-9]{4})\s(?:Act)"
-LEGISLATION_REF = r'<ref(?:(?!ref>).)*type="legislation"(?:.*?)ref>'
+#: Patterns of references in text.
+SECTION = r"([sS]ection\W*[0-9]+(?=)|[sS]ections\W*[0-9]+(?=)|\b[sS]+\W*[0-9]+(?=))(\W*\([0-9]+\))?"
+OBLIQUE = r"(the|this|that|The|This|That)\s(Act)"
+NUMBERED = r"(the|this|that|The|This|That)\s([0-9]{4})\s(Act)"
+LEGISLATION_REF = r'<ref(((?!ref>).)*)type="legislation"(.*?)ref>'
 YEAR = r"(?<![\w.])\d{4}(?!\w|\.\w|\.\.)"
-ACT_YEAR = r"Act \d{4}(?!\w)"
 
 
 def spans(text: Column, pattern: str) -> Column:
     """All non-empty matches, in order, with their code-point offsets.
 
     The text's pieces between matches and the matches themselves are laid end
-    to end; running lengths are the offsets.
+    to end; running lengths are the offsets. The pattern's classes (\\W, \\s)
+    are Unicode's.
     """
+    pattern = f"(?U){pattern}"
     hits = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))

@@ -27,12 +27,10 @@ def mention_errors(found: DataFrame) -> DataFrame:
 
 
 def uses(paragraphs: DataFrame) -> DataFrame:
-    """(uri, para, start, end, detected_ref, kind, year): kind 'act' or 'numbered_act'."""
-    def of(pattern: str, kind: str) -> DataFrame:
-        s = paragraphs.select("uri", F.col("para_no").alias("para"), F.explode(P.spans(F.col("markup"), pattern)).alias("s"))
-        return s.select("uri", "para", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("detected_ref"), F.lit(kind).alias("kind"), S.title_year(F.col("s.text")).alias("year"))
-
-    return of(P.OBLIQUE, "act").unionByName(of(P.NUMBERED, "numbered_act"))
+    """(uri, para, start, end, detected_ref, kind, year): kind 'act' or 'numbered_act'. Both patterns in one pass: no place matches both."""
+    s = paragraphs.select("uri", F.col("para_no").alias("para"), F.explode(P.spans(F.col("markup"), f"{P.NUMBERED}|{P.OBLIQUE}")).alias("s"))
+    year = S.title_year(F.col("s.text"))
+    return s.select("uri", "para", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("detected_ref"), F.when(year == "", "act").otherwise("numbered_act").alias("kind"), year.alias("year"))
 
 
 def latest_before(used: DataFrame, found: DataFrame) -> DataFrame:

@@ -39,20 +39,26 @@ def nearest(found: DataFrame, defs: DataFrame, strict: bool = False) -> DataFram
     nearest place in any paragraph.
     """
     d = defs.select("uri", "section_no", F.col("para").alias("d_para"), F.col("pos").alias("d_pos"), "section_href", "section_canonical", "href", "canonical", "m_start")
-    j = found.join(d, ["uri", "section_no"])
     use = ["uri", "section_no", "para", "start"]
-    earlier = F.col("d_para") <= F.col("para")
-    far, place = F.abs(F.col("para") - F.col("d_para")), F.abs(F.col("start") - F.col("d_pos"))
     if strict:
+        j = found.join(d, ["uri", "section_no"])
+        earlier = F.col("d_para") <= F.col("para")
+        far, place = F.abs(F.col("para") - F.col("d_para")), F.abs(F.col("start") - F.col("d_pos"))
         w = Window.partitionBy(*use)
         j = j.withColumn("best", F.min(F.when(earlier, far)).over(w)).where("best is not null")
         j = j.withColumn("many", F.sum((earlier & (far == F.col("best"))).cast("int")).over(w))
         j = j.where((F.col("many") > 1) | (earlier & (far == F.col("best"))))
-        order = [place, F.col("d_para"), F.col("d_pos"), F.col("m_start")]
+        ranked = j.withColumn("rn", F.row_number().over(Window.partitionBy(*use).orderBy(place, "d_para", "d_pos", "m_start"))).where("rn = 1")
     else:
-        j = j.where(earlier)
-        order = [far, place, F.col("d_pos"), F.col("m_start")]
-    ranked = j.withColumn("rn", F.row_number().over(Window.partitionBy(*use).orderBy(*order))).where("rn = 1")
+        # as-of: the last paragraph with definitions is carried forward, then the nearest of its definitions taken
+        one = F.struct("d_pos", "m_start", "section_href", "section_canonical")
+        sets = d.groupBy("uri", "section_no", "d_para").agg(F.collect_list(one).alias("ds"))
+        left = sets.select("uri", "section_no", F.col("d_para").alias("para"), F.lit(0).alias("side"), F.struct("d_para", "ds").alias("m"), *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("start", "end", "section")])
+        right = found.select("uri", "section_no", "para", F.lit(1).alias("side"), F.lit(None).cast(left.schema["m"].dataType).alias("m"), "start", "end", "section")
+        w = Window.partitionBy("uri", "section_no").orderBy("para", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        j = left.unionByName(right).withColumn("m", F.last("m", ignorenulls=True).over(w)).where("side = 1 and m is not null")
+        nearest_ = F.array_min(F.transform("m.ds", lambda x: F.struct(F.abs(F.col("start") - x["d_pos"]).alias("far"), x["d_pos"], x["m_start"], x["section_href"], x["section_canonical"])))
+        ranked = j.withColumn("n", nearest_).select("*", F.col("m.d_para").alias("d_para"), "n.d_pos", "n.section_href", "n.section_canonical")
     return ranked.select("uri", "para", "start", "end", "section", "section_no", "d_para", "d_pos", S.sub_section_href(F.col("section_href"), F.col("section")).alias("section_href"), "section_canonical")
 
 

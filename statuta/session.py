@@ -33,14 +33,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the folder spark.checkpoint.dir names (set to a temporary one where it's unset) and read again."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """What spark.checkpoint.dir names. Where it is unset, a local session (tests) gets a temporary folder; a cluster needs one that all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir isn't set: it must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="statuta-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/statuta/{name}-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table in the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/statuta/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,6 @@
 """Golden cases of the Python text and markup functions."""
 
-import re
+import json
 
 from statuta.functions import markup as M
 from statuta.functions import text as T
@@ -14,8 +14,21 @@ def test_similarity_golden():
 
 
 def test_best_window_is_anchored_at_the_end():
-    score, taken = T.best_window("under the Adoption Children Act 2002".split(), "Adoption and Children Act 2002")
-    assert (score, taken) == (93, -4)
+    title = T.Likeness("Adoption and Children Act 2002", 90, 5)
+    text = "under the Adoption  Children Act 2002"
+    assert title.before(text, len(text)) == (93, 10)
+    assert title.before("Adoption Act 2002", 17) is None and title.before("", 0) is None
+
+
+def test_words_before_a_place():
+    assert [T.last_words("a  bc d ", 8, n) for n in range(5)] == [8, 6, 3, 0, 0]
+
+
+def test_titles_are_whole_words():
+    table = {"CA": [("CA 2002", "2002"), ("CA", None)], "Act": [(" Act", None)]}
+    assert T.occurrences("XCA 2002 CA 2002x, CA 2002 Act", ["2002"], table) == [("CA", 9), ("CA 2002", 19), ("CA", 19), (" Act", 26)]
+    assert T.occurrences("CA 2002", [], {"CA": [("CA 2002", "2002")]}) == [] and T.occurrences(None, None, table) == []
+    assert T.act_years("Pact 2002, Act 2003, Act 20045") == [(19, "2003")]
 
 
 def test_abbreviations():
@@ -39,14 +52,18 @@ def test_tokens_keep_inner_stops():
 
 def test_rule_patterns():
     p = [{"ORTH": "["}, {"SHAPE": "dddd"}, {"ORTH": "]"}, {"LIKE_NUM": "true"}, {"ORTH": "WLR"}, {"LIKE_NUM": "true"}]
-    rule = [("wlr", re.compile(R.pattern_regex(p)))]
+    rule = R.Rules([("wlr", json.dumps(p))])
     assert R.hits("see [2022] 1 WLR 123.", rule) == [(4, 20, "[2022] 1 WLR 123", "wlr")]
     assert R.hits("see [2022] 1 W.L.R. 123", rule) == []
     assert R.hits(None, rule) == []
+    assert R.hits("Twenty PD ten", R.Rules([("pd", json.dumps([{"LIKE_NUM": "true"}, {"ORTH": "PD"}, {"LIKE_NUM": "true"}]))])) == [(0, 13, "Twenty PD ten", "pd")]
+    many = R.Rules([("any", json.dumps([{"ORTH": "No"}, {"ORTH": ".", "OP": "*"}, {"LIKE_NUM": "true"}]))])
+    assert [m for *_, m, _ in R.hits("No 5, No . 5 and No . . 5", many)] == ["No 5", "No . 5", "No . . 5"]
 
 
 def test_longest_hit_wins():
-    rule = [("short", re.compile("UKSC 1")), ("long", re.compile(r"\[2022\] UKSC 12"))]
+    parts = ("[", "2022", "]", "UKSC", "12")
+    rule = R.Rules([("short", json.dumps([{"ORTH": "UKSC"}, {"ORTH": "12"}])), ("long", json.dumps([{"ORTH": t} for t in parts]))])
     assert R.hits("[2022] UKSC 12", rule) == [(0, 14, "[2022] UKSC 12", "long")]
 
 
