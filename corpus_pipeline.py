@@ -15,23 +15,47 @@ from statuta.llm.token_counts import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are scored like any other text; repeated rows and
+    null ids are rows of their own, and equal texts share their fate. An empty
+    table stays empty, and without labels nothing is rejected. All columns
+    are returned as they came.
+    """
     model = quality_cnn.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_cnn.classify(docs, model).where("_predicted = 1").select(*docs.columns)
+    whole = docs.select("text", F.struct("*").alias("_whole"))
+    return quality_cnn.classify(whole, model).where("_predicted = 1").select("_whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One document of each group stays: the smallest id's, null ids last.
+
+    Groups are components of texts with a Jaccard similarity of 0.8 or more
+    in five-word shingles; shorter texts are one shingle. Texts that are null,
+    empty or white space are in no group and stay, repeated or not. Of rows
+    equal in every column one stays. An empty table stays empty.
+    """
     return ngram_join.keep_one(docs, 5, 80, 100)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, three times at most.
+
+    A null source is a source of its own. Documents without words count 0
+    words and are taken as often as their place says. Rows equal in id, source
+    and text share a place, and as many of them are taken as the target asks
+    for. An empty table stays empty.
+    """
     return mixing.repeat(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of the whole texts."""
+    """Sampled segmentations of the whole texts.
+
+    Null and empty texts have no pieces. The draw is seeded by doc_id (null: 0)
+    and place, so rows of equal id and text, as the mix repeats them, have
+    equal segmentations. An empty table gives no rows.
+    """
     out = piece_lattice.encode(docs.select("doc_id", "source", "text"), tokenizer_path("piece_bpe_32k.model"))
     return out.select("doc_id", "source", F.col("_n_pieces").cast("long").alias("n_pieces"), F.col("_ids").alias("ids"), F.col("_lossless").alias("lossless"))
 
