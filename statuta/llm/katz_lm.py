@@ -18,7 +18,9 @@ tables grow with the corpus. Chunks are bucketed by number, so they don't
 move when the answers come back.
 
 Model: counts r of 1 to K are discounted by Good-Turing (Katz 1987), larger
-ones by TAIL, so some mass is always left. P(w) = r* / N, the rest for any
+ones are reliable and stay. Where no count is discounted (every word, or every
+successor of a context, is seen more than K times) nothing would be left for
+what wasn't seen: there, all counts lose TAIL. P(w) = r* / N, the rest for any
 unknown word. P(w | v) = r*(v, w) / c(v) if (v, w) was seen, else a(v) P(w) with
 a(v) = (1 - sum of P(w | v) over seen w) / (1 - sum of P(w) over seen w): exactly
 normalised. A context that wasn't seen has a = 1. A text is scored from a
@@ -83,13 +85,18 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0.0], d])
 
 
-def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """r* of counts c."""
-    return np.where(c > K, c - TAIL, d[np.minimum(c, K)] * c)
+def discounted(c: np.ndarray, d: np.ndarray, tail: float | np.ndarray) -> np.ndarray:
+    """r* of counts c; tail: what counts above K lose."""
+    return np.where(c > K, c - tail, d[np.minimum(c, K)] * c)
 
 
-def word_probability(c: np.ndarray, total: int, d: np.ndarray, unknown: float) -> np.ndarray:
-    return np.where(c > 0, discounted(c, d) / max(total, 1), unknown)
+def word_probability(c: np.ndarray, total: int, d: np.ndarray, tail: float, unknown: float) -> np.ndarray:
+    return np.where(c > 0, discounted(c, d, tail) / max(total, 1), unknown)
+
+
+def spent(n: np.ndarray) -> np.ndarray:
+    """Whether types counted 1 .. K times and (last) more often leave nothing by Good-Turing."""
+    return n[..., :K].sum(-1) == 0
 
 
 def unknown_mass(total: int, counts: np.ndarray, d: np.ndarray) -> float:
@@ -97,7 +104,7 @@ def unknown_mass(total: int, counts: np.ndarray, d: np.ndarray) -> float:
     if not total:
         return 1.0
     r = np.arange(1, K + 1)
-    return float(((1 - d[1:]) * r * counts[:K]).sum() + TAIL * counts[K + 1]) / total
+    return float(((1 - d[1:]) * r * counts[:K]).sum() + (TAIL * counts[K + 1] if spent(counts) else 0)) / total
 
 
 def range_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -201,10 +208,10 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
 
     answers = "chunk long, kind int, bucket long, x binary, y binary"
     words_table = stored(chunks.mapInArrow(ask_words, "bucket long, chunk long, words binary, counts binary").groupBy("bucket").applyInArrow(answer_words, answers), "katz-words", "none")
-    # one row for each bucket
-    stats = sum((unpack(bytes(r["x"])) for r in words_table.where("chunk = -1").select("x").collect()), np.zeros(K + 4, np.int64))
+    stats = summed_up(words_table.where("chunk = -1"), K + 4)
     total, types, word_counts = int(stats[0]), int(stats[1]), stats[2:]
     d1 = discounts(word_counts)
+    tail1 = TAIL if spent(word_counts) else 0.0
     unknown = unknown_mass(total, word_counts, d1)
 
     # -- bigrams ----------------------------------------------------------------
@@ -243,7 +250,7 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
         _, one, place = np.unique(names, return_index=True, return_inverse=True)
         del names
         count = np.bincount(place, np.concatenate([own.unpack(r["counts"]) for r in rows]), len(one)).astype(np.int64)
-        p = own.word_probability(np.concatenate([own.unpack(r["cw"]) for r in rows])[one], total, d1, unknown)
+        p = own.word_probability(np.concatenate([own.unpack(r["cw"]) for r in rows])[one], total, d1, tail1, unknown)
         seen = count > 0
         contexts, at = np.unique(v[one], return_inverse=True)
         stat = np.zeros(len(contexts), own.CONTEXT)
@@ -251,6 +258,8 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
         np.add.at(stat["n"], (at[seen], np.minimum(count[seen], own.K + 1) - 1), 1)
         stat["p"] = np.bincount(at, np.where(seen, p, 0), len(contexts))
         out = {"chunk": [-1], "kind": [1], "bucket": [key[0].as_py()], "x": [own.pack(np.bincount(np.minimum(count[seen], own.K + 2), minlength=own.K + 3)[1 : own.K + 2].astype(np.int64))], "y": [b""]}
+        # where a context is spent its counts are given as negative: they lose TAIL
+        counted = np.where(own.spent(stat["n"])[at], -count, count)
         wide = np.unique(at[np.isin(np.arange(len(one)), np.unique(place[spread > 0]))]) if spread.any() else np.zeros(0, np.int64)
         for c in wide:
             for name, x in (("chunk", -2), ("kind", 1), ("bucket", int(contexts[c])), ("x", stat[c : c + 1].tobytes()), ("y", b"")):
@@ -259,7 +268,10 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
         for r in rows:
             b = a + int(own.unpack(r["runs"]).sum())
             got = count[place[a:b]]
-            need = np.unique(at[place[a:b][got == 0]]) if not r["spread"] else np.zeros(0, np.int64)
+            if not r["spread"]:  # of a spread context this is a part only
+                need, got = np.unique(at[place[a:b][got == 0]]), counted[place[a:b]]
+            else:
+                need = np.zeros(0, np.int64)
             for name, x in (("chunk", r["chunk"]), ("kind", 1 + r["spread"]), ("bucket", key[0].as_py()), ("x", own.pack(got)), ("y", stat[need].tobytes())):
                 out[name].append(x)
             a = b
@@ -268,7 +280,7 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
 
     requests = chunks.groupBy("chunk").cogroup(words_table.where("chunk >= 0").groupBy("chunk")).applyInArrow(ask_bigrams, "bucket long, chunk long, spread int, v binary, runs binary, w binary, cw binary, counts binary")
     bigram_table = stored(requests.groupBy("bucket").applyInArrow(answer_bigrams, answers), "katz-bigrams", "none")
-    d2 = discounts(sum((unpack(bytes(r["x"])) for r in bigram_table.where("chunk = -1").select("x").collect()), np.zeros(K + 1, np.int64)))
+    d2 = discounts(summed_up(bigram_table.where("chunk = -1"), K + 1))
 
     def summed(key: tuple, t: pa.Table) -> pa.Table:
         from statuta.llm import katz_lm as own
@@ -292,24 +304,28 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
         kind = np.array(right.column("kind").to_pylist())
         counts, ids = own.answers_of(right.filter(pa.array(kind == 0)))
         first, second, place, _ = own.bigrams(stream, d, len(words))
-        order, _, _ = own.request_order(first, second, words, counts, total, b2)
+        order, _, spread = own.request_order(first, second, words, counts, total, b2)
         rows = sorted(right.filter(pa.array(kind > 0)).to_pylist(), key=lambda r: (r["bucket"], r["kind"]))
         c2 = np.zeros(len(first), np.int64)
         if rows:
             c2[order] = np.concatenate([own.unpack(r["x"]) for r in rows])
         stat = np.concatenate([wide_stats.value, *[np.frombuffer(r["y"], own.CONTEXT) for r in rows]])
         stat = stat[np.argsort(stat["v"])]
-        p = own.word_probability(counts, total, d1, unknown)
+        v = np.append(ids, -1)[first]
+        if len(wide_stats.value):  # spread contexts that are spent, seen as a whole
+            spent_ones = np.zeros(len(first), bool)
+            spent_ones[order[spread]] = np.isin(v[order[spread]], wide_stats.value["v"][own.spent(wide_stats.value["n"])])
+            c2[spent_ones] *= -1
+        p = own.word_probability(counts, total, d1, tail1, unknown)
         ends = counts[np.searchsorted(words, own.END)]
         cv = np.append(counts, ends)[first]  # texts begin as often as they end
         logp = np.log10(p[second])
-        seen = c2 > 0
-        logp[seen] = np.log10(own.discounted(c2[seen], d2) / cv[seen])
+        seen = c2 != 0
+        logp[seen] = np.log10(own.discounted(np.abs(c2[seen]), d2, np.where(c2[seen] < 0, own.TAIL, 0)) / cv[seen])
         back = np.flatnonzero(~seen & (cv > 0))
         if len(back):
-            at = np.searchsorted(stat["v"], np.append(ids, -1)[first[back]])
-            s = stat[at]
-            left_over = ((1 - d2[1:]) * np.arange(1, own.K + 1) * s["n"][:, : own.K]).sum(1) + own.TAIL * s["n"][:, own.K]
+            s = stat[np.searchsorted(stat["v"], v[back])]
+            left_over = ((1 - d2[1:]) * np.arange(1, own.K + 1) * s["n"][:, : own.K]).sum(1) + np.where(own.spent(s["n"]), own.TAIL * s["n"][:, own.K], 0)
             logp[back] += np.log10(left_over / cv[back]) - np.log10(1 - s["p"])
         starts = np.cumsum(d["n"]) - d["n"]
         known = (counts > 0)[stream]
@@ -322,6 +338,24 @@ def score(docs: DataFrame, modulus: int = 7, held_out: int = 2, chunk_tokens: in
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def summed_up(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of the packed numbers in column x, added on the executors: one short row a task comes back."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from statuta.llm import katz_lm as own
+
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += own.unpack(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["k", "n"])
+
+    out = np.zeros(size, np.int64)
+    for r in rows.select("x").mapInArrow(added, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        out[r["k"]] = r["n"]
+    return out
+
+
 def chunk_of(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     r = t.to_pylist()[0]
     return np.frombuffer(r["docs"], DOC), np.frombuffer(r["words"], np.uint64), unpack(r["stream"]).astype(np.int64)

@@ -35,9 +35,11 @@ def jaccard_components(rows, n, num, den):
     return {i: len(s) for i, s in sets.items()}, least_reachable(sets, links)
 
 
-def katz(rows, modulus=7, held_out=2, k=5, tail=0.1):
+def katz(rows, modulus=7, held_out=2, k=5, tail=0.1, held=None):
+    """held: the ids that don't train, where it isn't their remainder that says so."""
     end, begin = 0, 1
-    docs = [(i, i is not None and zlib.crc32(str(i).encode()) % modulus == held_out, words(t) + [end]) for i, t in rows]
+    out_ = lambda i: i in held if held is not None else i is not None and zlib.crc32(str(i).encode()) % modulus == held_out
+    docs = [(i, out_(i), words(t) + [end]) for i, t in rows]
     one, two, context = Counter(), Counter(), Counter()
     for _, held, w in docs:
         if not held:
@@ -56,21 +58,24 @@ def katz(rows, modulus=7, held_out=2, k=5, tail=0.1):
                     x = ((r + 1) * n[r + 1] / n[r] / r - a) / (1 - a)
                     if 0 < x < 1:
                         d[r] = x
-        return lambda c: c - tail if c > k else d[c] * c
+        # where no count is discounted, all lose the tail
+        return lambda c, of: c - tail * (min(of) > k) if c > k else d[c] * c
 
     d1, d2 = discounts(one), discounts(two)
-    unknown = 1 - sum(map(d1, one.values())) / total if total else 1.0
-    p1 = lambda w: d1(one[w]) / total if one[w] else unknown
+    ones = list(one.values())
+    unknown = 1 - sum(d1(c, ones) for c in ones) / total if total else 1.0
+    p1 = lambda w: d1(one[w], ones) / total if one[w] else unknown
     after = defaultdict(list)
     for v, w in two:
         after[v].append(w)
+    seen = {v: [two[v, w] for w in after[v]] for v in after}
 
     def p2(v, w):
         if two[v, w]:
-            return d2(two[v, w]) / context[v]
+            return d2(two[v, w], seen[v]) / context[v]
         if not context[v]:
             return p1(w)
-        return p1(w) * (1 - sum(d2(two[v, x]) for x in after[v]) / context[v]) / (1 - sum(map(p1, after[v])))
+        return p1(w) * (1 - sum(d2(two[v, x], seen[v]) for x in after[v]) / context[v]) / (1 - sum(map(p1, after[v])))
 
     out = {}
     for i, held, w in docs:

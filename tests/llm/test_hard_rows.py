@@ -1,13 +1,14 @@
 """Repeated and missing ids, words without spaces, ties at a cut, groups of near misses: against plain versions."""
 
 import random
+import zlib
 from collections import Counter
 
 import brute
 import numpy as np
 import pytest
 
-from statuta.llm import embedding_dedup, graph_ann, mixing, ngram_join, piece_lattice, quality_cnn, token_counts
+from statuta.llm import embedding_dedup, graph_ann, katz_lm, mixing, ngram_join, piece_lattice, quality_cnn, token_counts
 
 F = graph_ann.F
 
@@ -209,3 +210,31 @@ def test_training_sample_of_repeated_ids(spark):
     texts, y = seen[0]
     assert 20 < len(texts) == len(set(texts)) <= 40
     assert all((t.startswith(b"good")) == bool(label) for t, label in zip(texts, y))
+
+
+# -- 6: odd rows, and contexts that Good-Turing leaves nothing --------------------------------------------
+
+
+def test_katz_of_odd_and_repeated_rows(spark):
+    text = "the same words again and again " * 12
+    rows = [(None, "one two one two"), (5, None), (5, ""), (5, " \t"), (9, "日本 \x00 日本"), (9, "日本 \x00 日本"), (None, text), (11, text), (12, "new words " * 9)]
+    rows += [(k, "a b") for k in range(100, 140)]  # a is followed by b, more often than K times
+    rows += [(k, "a c b a") for k in range(200, 203)] + [(k, "x y x z") for k in range(300, 302)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, conditional, counts = brute.katz([(k, t) for k, (_, t) in enumerate(rows)], held={k for k, (i, _) in enumerate(rows) if i is not None and zlib.crc32(str(i).encode()) % 7 == 2})
+    for chunk in (20, 10**6):
+        got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz_lm.score(df, chunk_tokens=chunk).collect())
+        assert got == Counter((rows[k][0], *w[:4], round(w[4], 6), round(w[5], 6)) for k, w in want.items())
+    for v in ("a", "again", 1, "unseen"):
+        assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
+
+
+def test_katz_where_every_count_is_large(spark):
+    """Nothing is discounted: all counts lose the tail, and unknown words keep a probability."""
+    rows = [(k, "a b a b") for k in range(60)] + [(1000 + k, "a q") for k in range(30) if zlib.crc32(str(1000 + k).encode()) % 7 == 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, conditional, counts = brute.katz(rows)
+    got = {r.doc_id: r.score for r in katz_lm.score(df).collect()}
+    assert got == pytest.approx({k: w[5] for k, w in want.items()}, rel=1e-9)
+    for v in ("a", "b", 1):
+        assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
