@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, ship, stored
+from .common import pieces, shared_folder, ship, stored
 from .token_counts import tokenizer_path
 
 SEQ_LEN = 512
@@ -32,6 +32,8 @@ PER_SHARD = 1 << 15
 KEY = 0x5EED
 END = 50256
 ROUNDS = 6
+#: Tokens of an input partition that are sent together.
+TOGETHER = 8_000_000
 _worker: dict = {}
 
 
@@ -87,7 +89,7 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
         from statuta.llm import training_order as own
 
         encode, n, check = own.encoder(path), 0, 0
-        for batch in batches:
+        for batch in pieces(batches):
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = -(-(len(encode(t or "")) + 1) // seq_len)
                 n, check = n + s, own.chained(check, k, s)
@@ -125,8 +127,8 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
             cuts = np.split(order, np.flatnonzero(np.diff(shard)) + 1)
             return pa.RecordBatch.from_arrays([pa.array([int(meta["slot"][c[0]]) // per_shard for c in cuts], pa.int64()), pa.array([meta[c].tobytes() for c in cuts], pa.binary()), pa.array([pack.compress(tokens[c].tobytes()) for c in cuts], pa.binary())], ["shard", "meta", "tokens"])
 
-        for batch in batches:
-            ids, made, lengths, held, first = [], [], [], 0, number
+        ids, made, lengths, held, first = [], [], [], 0, number
+        for batch in pieces(batches):
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 x = encode(t or "")
                 s = -(-(len(x) + 1) // seq_len)
@@ -136,13 +138,13 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
                 made.append(padded)
                 lengths.append(len(x) + 1)
                 number, check, held = number + s, own.chained(check, k, s), held + len(padded)
-                if held > 16_000_000:
+                if held > TOGETHER:
                     lengths = np.array(lengths)
                     yield sent(ids, made, first)
                     ids, made, lengths, held, first = [], [], [], 0, number
-            if ids:
-                lengths = np.array(lengths)
-                yield sent(ids, made, first)
+        if ids:
+            lengths = np.array(lengths)
+            yield sent(ids, made, first)
         if check != expected:
             raise RuntimeError("an input partition changed between the two passes")
 

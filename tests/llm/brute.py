@@ -81,3 +81,20 @@ def katz(rows, modulus=7, held_out=2, k=5, tail=0.1, held=None):
     for i, held, w in docs:
         out[i] = (held, len(w), sum(one[x] > 0 for x in w), total, sum(math.log10((one[x] + 1) / (total + types + 1)) for x in w), sum(math.log10(p2(v, x)) for v, x in zip([begin, *w], w)))
     return out, p2, one
+
+
+def slot(number, n, key, rounds=6):
+    """Where the keyed network puts a sequence: one number at a time, walking until it is below n."""
+    half = 1
+    while 4**half < n:
+        half += 1
+    x = number
+    while True:
+        left, right = divmod(x, 2**half)
+        for k in range(rounds):
+            h = (right + key + k * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 % 2**64
+            h = (h ^ h >> 31) * 0x94D049BB133111EB % 2**64
+            left, right = right, left ^ (h ^ h >> 29) % 2**half
+        x = left * 2**half + right
+        if x < n:
+            return x

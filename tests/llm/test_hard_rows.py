@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import pytest
 
-from statuta.llm import embedding_dedup, graph_ann, katz_lm, mixing, ngram_join, piece_lattice, quality_cnn, token_counts
+from statuta.llm import embedding_dedup, graph_ann, katz_lm, mixing, ngram_join, piece_lattice, quality_cnn, token_counts, training_order
 
 F = graph_ann.F
 
@@ -238,3 +238,28 @@ def test_katz_where_every_count_is_large(spark):
     assert got == pytest.approx({k: w[5] for k, w in want.items()}, rel=1e-9)
     for v in ("a", "b", 1):
         assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
+
+
+# -- 3: the order itself ------------------------------------------------------------------------------------
+
+
+def test_slots_are_the_networks(spark, tmp_path):
+    path = token_counts.tokenizer_path("byte_bpe_50k.tiktoken")
+    rows = [(k, "some words of a text " * (k * 7 % 60)) for k in range(80)] + [(3, "a repeated id"), (None, "no id " * 90), (80, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).orderBy(F.spark_partition_id())
+    got = training_order.materialise(df, f"file://{tmp_path}/shards", path, seq_len=16, per_shard=64).collect()
+    encode, want, number = training_order.encoder(path), {}, 0
+    records = []
+    for k, text in [tuple(r) for r in df.collect()]:
+        ids = [*encode(text or "").tolist(), training_order.END]
+        for seq, at in enumerate(range(0, len(ids), 16)):
+            records.append((k, seq, (ids[at : at + 16] + [training_order.END] * 16)[:16], min(16, len(ids) - at)))
+    for number, (k, seq, ids, n) in enumerate(records):
+        want[brute.slot(number, len(records), training_order.KEY)] = (k, seq, n, zlib.crc32(np.array(ids, "<u2").tobytes()))
+    assert {r.slot: (r.doc_id, r.seq, r.n_tokens, r.crc) for r in got} == want
+    assert [r.tolist() for r in training_order.read(f"file://{tmp_path}/shards", 0, len(records), 16, 64)] == [records[n][2] for n in np.argsort([brute.slot(k, len(records), training_order.KEY) for k in range(len(records))])]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 16, 17, 300])
+def test_network(n):
+    assert training_order.feistel(np.arange(n), n, 99).tolist() == [brute.slot(k, n, 99) for k in range(n)]
