@@ -16,8 +16,35 @@ def test_similarity_golden():
 def test_best_window_is_anchored_at_the_end():
     title = T.Likeness("Adoption and Children Act 2002", 90, 5)
     text = "under the Adoption  Children Act 2002"
-    assert title.before(text, len(text)) == (93, 10)
-    assert title.before("Adoption Act 2002", 17) is None and title.before("", 0) is None
+    assert title.best(T.Window(text, len(text))) == (93, 10)
+    assert title.best(T.Window("Adoption Act 2002", 17)) is None and title.best(T.Window("", 0)) is None
+    assert title.best(T.Window("of Adoption and Children Act 2002 x", 33)) == (100, 3)
+
+
+def test_bounds_lose_no_window():
+    import random
+
+    r = random.Random(4)
+    words = "the of Finance Act Companies and Order Duties Customs 2002 1999".split()
+    for _ in range(500):
+        title, text = (" ".join(r.choice(words) for _ in range(r.randint(1, 9))) for _ in range(2))
+        want = None
+        for n in range(1, len(title.split()) + 6):
+            run = text.split()[-n:]
+            score = T.token_sort_ratio(" ".join(run), title)
+            if score >= 70 and (want is None or score > want):
+                want = score
+            if n >= len(text.split()):
+                break
+        got = T.Likeness(title, 70, 5).best(T.Window(text, len(text)))
+        assert (got and got[0]) == want
+
+
+def test_window_of_any_length():
+    title = " ".join(f"Regulation{k} of" for k in range(150)) + " Act 2002"  # some 2000 characters
+    near = title.replace("Regulation7 ", "Regulations7 ")
+    got = T.Likeness(title, 90, 5).best(T.Window("under the " + near, 10 + len(near)))
+    assert got[0] >= 99 and got[1] < 100
 
 
 def test_words_before_a_place():
