@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import discard, stored
 
 
 def edges(*found: tuple[DataFrame, str]) -> DataFrame:
@@ -42,6 +42,7 @@ def closure(triples: DataFrame, predicate: str) -> DataFrame:
     while not found.where(F.col("depth") == reach).isEmpty():
         far = found.where(F.col("depth") == reach).select("top", F.col("node").alias("mid"))
         rest = found.select(F.col("top").alias("mid"), "node", (F.col("depth") + reach).alias("depth"))
-        found = stored(found.unionByName(far.join(rest, "mid").select("top", "node", "depth")).groupBy("top", "node").agg(F.min("depth").alias("depth")), "closure")
+        before, found = found, stored(found.unionByName(far.join(rest, "mid").select("top", "node", "depth")).groupBy("top", "node").agg(F.min("depth").alias("depth")), "closure")
+        discard(before)
         reach *= 2
     return found

@@ -45,12 +45,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the shared folder and read again."""
+#: Spark's setting by which an execution's shuffle files go at its end, not when the driver's garbage is collected.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """df written as a table in the shared folder and read again: cuts the lineage, survives lost executors.
+
+    The shuffle files that led to the table are deleted once it is written.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/statuta/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables. Only for tables that nothing still to be computed reads: what was made of them is stored itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_rows(df: DataFrame, schema: str | StructType, function: Callable[[dict], Iterable[dict]], rows: int = 500) -> DataFrame:
