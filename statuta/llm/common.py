@@ -1,80 +1,50 @@
-"""What the operators share: shared-folder tables, code shipping, connected components."""
+"""What the operators share: small batches, tables that come and go, connected components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-
+import ctypes
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_shipped: set[str] = set()
+from .. import session
+from ..session import discard, shared_folder, stored
 
+__all__ = ["components", "discard", "give_back", "only", "pieces", "shared_folder", "ship", "shuffle_partitions", "stored"]
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that workers can import it."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    out = os.path.join(tempfile.mkdtemp(), "statuta_code.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for folder, _, names in os.walk(os.path.join(top, "statuta")):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, top))
-    spark.sparkContext.addPyFile(out)
-    _shipped.add(app)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir. Where it is unset, a local session (tests) gets a temporary folder; a cluster needs one that all executors share."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir isn't set: it must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="statuta-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """df written as a table in the shared folder and read again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/statuta/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
+#: Rows of an Arrow batch, unless the session says otherwise: few texts, which may be long, are held at once.
+BATCH_ROWS = 2000
 
 
-def discard(*tables: DataFrame) -> None:
-    """Deletes stored tables. Only for tables that nothing still to be computed reads: what was made of them is stored itself."""
-    for t in tables:
-        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.stored_at)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that workers can import it; sees to small Arrow batches."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting, "10000")) in (0, 10_000):  # the default
+        spark.conf.set(setting, str(BATCH_ROWS))
+    session.ship(spark)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``rows`` rows, so that few texts are Python objects at once."""
+    """The batches in slices of at most ``rows`` rows, so that few texts are Python objects at once; memory is given back at the end."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Hands free memory to the system: a worker that waits for its next task keeps no more than it needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def only(df: DataFrame, column: str, keys: DataFrame, most: int = 1_000_000) -> DataFrame:
