@@ -40,16 +40,17 @@ def katz(rows, modulus=7, held_out=2, k=5, tail=0.1, held=None):
     end, begin = 0, 1
     out_ = lambda i: i in held if held is not None else i is not None and zlib.crc32(str(i).encode()) % modulus == held_out
     docs = [(i, out_(i), words(t) + [end]) for i, t in rows]
-    one, two, context = Counter(), Counter(), Counter()
-    for _, held, w in docs:
-        if not held:
-            one.update(w)
-            two.update(zip([begin, *w], w))
-            context.update([begin, *w[:-1]])
+    counts = [Counter(), Counter(), Counter()]  # of words, and of successors in a context of one and of two
+    for _, held_, w in docs:
+        if not held_:
+            counts[0].update(w)
+            counts[1].update(((v,), x) for v, x in zip([begin, *w], w))
+            counts[2].update(((u, v), x) for u, v, x in zip([begin, *w], w, w[1:]))
+    one = counts[0]
     total, types = sum(one.values()), len(one)
 
-    def discounts(counts):
-        n = Counter(counts.values())
+    def discounts(counted):
+        n = Counter(counted.values())
         d = {r: 1 - 0.5 / r for r in range(1, k + 1)}
         if n[1]:
             a = (k + 1) * n[k + 1] / n[1]
@@ -61,26 +62,37 @@ def katz(rows, modulus=7, held_out=2, k=5, tail=0.1, held=None):
         # where no count is discounted, all lose the tail
         return lambda c, of: c - tail * (min(of) > k) if c > k else d[c] * c
 
-    d1, d2 = discounts(one), discounts(two)
+    discount = [discounts(c) for c in counts]
     ones = list(one.values())
-    unknown = 1 - sum(d1(c, ones) for c in ones) / total if total else 1.0
-    p1 = lambda w: d1(one[w], ones) / total if one[w] else unknown
-    after = defaultdict(list)
-    for v, w in two:
-        after[v].append(w)
-    seen = {v: [two[v, w] for w in after[v]] for v in after}
-
-    def p2(v, w):
-        if two[v, w]:
-            return d2(two[v, w], seen[v]) / context[v]
-        if not context[v]:
-            return p1(w)
-        return p1(w) * (1 - sum(d2(two[v, x], seen[v]) for x in after[v]) / context[v]) / (1 - sum(map(p1, after[v])))
+    unknown = 1 - sum(discount[0](c, ones) for c in ones) / total if total else 1.0
+    after = defaultdict(dict)
+    for level in (1, 2):
+        for (context, w), c in counts[level].items():
+            after[context][w] = c
+
+    def p(context, w):
+        if not context:
+            return discount[0](one[w], ones) / total if one[w] else unknown
+        seen, d = after.get(context, {}), discount[len(context)]
+        times = sum(seen.values())
+        if not times:
+            return p(context[1:], w)
+        if w in seen:
+            return d(seen[w], seen.values()) / times
+        return p(context[1:], w) * (1 - sum(d(c, seen.values()) for c in seen.values()) / times) / (1 - sum(p(context[1:], x) for x in seen))
+
+    cached = {}
+
+    def conditional(context, w):
+        if (context, w) not in cached:
+            cached[context, w] = p(context, w)
+        return cached[context, w]
 
     out = {}
-    for i, held, w in docs:
-        out[i] = (held, len(w), sum(one[x] > 0 for x in w), total, sum(math.log10((one[x] + 1) / (total + types + 1)) for x in w), sum(math.log10(p2(v, x)) for v, x in zip([begin, *w], w)))
-    return out, p2, one
+    for i, held_, w in docs:
+        logs = [math.log10(conditional((begin, *w)[max(0, j - 1) : j + 1], x)) for j, x in enumerate(w)]
+        out[i] = (held_, len(w), sum(one[x] > 0 for x in w), total, sum(math.log10((one[x] + 1) / (total + types + 1)) for x in w), sum(logs))
+    return out, conditional, one
 
 
 def slot(number, n, key, rounds=6):

@@ -255,7 +255,7 @@ def test_katz(spark, corpus, odd, nothing):
         assert got.keys() == want.keys()
         for k, w in want.items():
             assert got[k][:4] == w[:4] and got[k][4:] == pytest.approx(w[4:], rel=1e-9)
-    for v in ("w1", "w7", 1, "unseen"):
+    for v in (("w1",), ("w7",), (1,), ("unseen",), ("w1", "w7"), (1, "w3"), tuple(rows[0][1].split()[:2])):
         assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
     assert katz_lm.score(odd).count() == len(ODD) and katz_lm.score(nothing).count() == 0
 
