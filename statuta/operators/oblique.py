@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import spans as P
+from ..session import stored
 
 
 def mentions(paragraphs: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def first_of_year(used: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def resolved(paragraphs: DataFrame) -> DataFrame:
-    """All indirect mentions with the statute they mean."""
-    found = mentions(paragraphs).where("href is not null")
-    used = uses(paragraphs)
+    """All indirect mentions with the statute they mean. What both joins read is stored, so the paragraphs are searched once."""
+    found = stored(mentions(paragraphs).where("href is not null"), "mentions")
+    used = stored(uses(paragraphs), "uses")
     return latest_before(used.where("kind = 'act'"), found).unionByName(first_of_year(used.where("kind = 'numbered_act'"), found))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import spans as P
+from ..session import stored
 from .oblique import mentions
 
 THRESHOLD = 30
@@ -63,6 +64,7 @@ def nearest(found: DataFrame, defs: DataFrame, strict: bool = False) -> DataFram
 
 
 def resolved(paragraphs: DataFrame, threshold: int = THRESHOLD, strict: bool = False) -> DataFrame:
-    found = sections(paragraphs)
+    """Sections with their statutes. The sections are stored, since they are read for the definitions and for the uses."""
+    found = stored(sections(paragraphs), "sections")
     pairs = close_pairs(found, mentions(paragraphs).where("href is not null"), threshold)
     return nearest(found, definitions(pairs), strict)
