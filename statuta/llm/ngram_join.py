@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import components, discard, only, pieces, ship, shuffle_partitions, stored
+from .common import components, discard, give_back, only, pieces, ship, shuffle_partitions, stored
 
 #: Entries of the table of frequent n-grams, at most; and the documents of a task in which an n-gram counts as frequent.
 FREQUENT_ENTRIES = 200_000
 FREQUENT_LOCAL = 4
+#: Documents of an n-gram from which its postings aren't gathered in a task, but go as rows.
+HOT = 1_000_000
 #: Words whose hashes a worker keeps.
 CACHE_ENTRIES = 200_000
 #: Pairs that may be broadcast (16 bytes each).
@@ -55,6 +58,8 @@ TASK_BYTES = 8_000_000
 PARTNERS = 8
 #: Buckets of a folded row, at least (as a power of two): 64, a word.
 LEAST_BITS = 6
+#: Bytes of prefixes that are packed together.
+PACK_BYTES = 8_000_000
 #: Counts of a bucket that have a plane of bits; what is above is only summed.
 PLANES = 3
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -272,7 +277,8 @@ def _classes(rows: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, Da
     first = F.min(F.struct("_row", _key(F.col("doc_id")).alias("key")))
     classes = some.groupBy("set_1", "set_2").agg(first.alias("m"), F.first("n_shingles").alias("size"), F.count("*").alias("n"))
     classes = stored(classes.select("set_1", "set_2", F.col("m._row").alias("node"), F.col("m.key").alias("key"), "size", "n"), "ngram-classes")
-    columns = stored(_columns(some.select("set_1", "n_shingles", "head")), "ngram-columns")
+    hot = np.sort(table.value[0][table.value[1] > HOT])
+    columns = stored(_columns(some.select("set_1", "n_shingles", "head"), hot), "ngram-columns")
     links = _links(rows, found, classes, columns, n, num, den)
     reach = components(links)
     discard(columns, links)
@@ -284,14 +290,15 @@ def _classes(rows: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, Da
     return found, joined, [classes, reach]
 
 
-def _columns(held: DataFrame) -> DataFrame:
+def _columns(held: DataFrame, hot: np.ndarray) -> DataFrame:
     """held (name, size, head), names repeated for equal sets -> distinct rows (col, name): columns with two or more names.
 
     col is a hash of the column's members, so columns of equal membership
     coincide. Block b holds the n-grams of hash range b; a batch of rows sends
     each block one row of packed postings, with every name once. Names are halves
     of digests: should two sets share one, they are candidates of each other's
-    partners, no more.
+    partners, no more. Columns of the n-grams in hot (sorted) take no part in
+    that: their postings are rows from the start, so no task gathers them.
     """
     postings = held.agg(F.sum(F.octet_length("head"))).first()[0] or 0
     blocks = int(max(8, postings // 8 // 1_000_000))
@@ -299,19 +306,32 @@ def _columns(held: DataFrame) -> DataFrame:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import ngram_join as own
 
-        for batch in batches:
-            nodes, first = np.unique(batch.column(0).to_numpy(), return_index=True)
-            all_heads = batch.column(2).to_pylist()
-            heads = [np.frombuffer(all_heads[i], np.uint64) for i in first]
-            if not heads:
-                continue
+        def settle() -> pa.RecordBatch:
+            names, first = np.unique(np.concatenate([n for n, _ in waiting]), return_index=True)
+            heads = list(chain.from_iterable(x for _, x in waiting))
+            heads = [np.frombuffer(heads[i], np.uint64) for i in first]
             h = np.concatenate(heads)
-            node = np.repeat(nodes, [len(x) for x in heads])
+            name = np.repeat(names, [len(x) for x in heads])
+            if len(hot):
+                common = np.isin(h, hot)
+                h, name = h[~common], name[~common]
             block = (own.mixed(h) % np.uint64(blocks)).astype(np.int32)
             order = np.argsort(block, kind="stable")
             cuts = np.searchsorted(block[order], np.arange(blocks + 1))
             parts = [(b, order[cuts[b] : cuts[b + 1]]) for b in range(blocks) if cuts[b] < cuts[b + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int32()), pa.array([h[i].tobytes() for _, i in parts], pa.binary()), pa.array([node[i].tobytes() for _, i in parts], pa.binary())], ["block", "h", "node"])
+            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in parts], pa.int32()), pa.array([h[i].tobytes() for _, i in parts], pa.binary()), pa.array([name[i].tobytes() for _, i in parts], pa.binary())], ["block", "h", "node"])
+
+        waiting, held = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append((batch.column(0).to_numpy(), batch.column(2).to_pylist()))
+                held += sum(map(len, waiting[-1][1]))
+            if held > own.PACK_BYTES:
+                yield settle()
+                waiting, held = [], 0
+        if waiting:
+            yield settle()
+        give_back()
 
     def shared(key: tuple, t: pa.Table) -> pa.Table:
         from statuta.llm import ngram_join as own
@@ -336,8 +356,18 @@ def _columns(held: DataFrame) -> DataFrame:
             col, node = np.repeat(members, length)[keep], node[keep]
         return pa.table({"col": pa.array(col, pa.int64()), "name": pa.array(node, pa.int64())})
 
+    def rows_of_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
+            if heads:
+                h = np.concatenate(heads)
+                common = np.isin(h, hot)
+                name = np.repeat(batch.column(0).to_numpy(), [len(x) for x in heads])[common]
+                yield pa.RecordBatch.from_arrays([pa.array(h[common].view(np.int64)), pa.array(name, pa.int64())], ["col", "name"])
+
     sent = held.mapInArrow(packed, "block int, h binary, node binary")
-    return sent.groupBy("block").applyInArrow(shared, "col long, name long").distinct()
+    out = sent.groupBy("block").applyInArrow(shared, "col long, name long")
+    return (out.unionAll(held.mapInArrow(rows_of_hot, "col long, name long")) if len(hot) else out).distinct()
 
 
 def _links(rows: DataFrame, found: DataFrame, classes: DataFrame, columns: DataFrame, n: int, num: int, den: int) -> DataFrame:

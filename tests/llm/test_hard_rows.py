@@ -145,6 +145,8 @@ def test_long_words_are_sampled_alike(lattice, monkeypatch):
 def test_rounds_until_nothing_is_held_back(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PARTNERS", 1)
     monkeypatch.setattr(ngram_join, "BLOCK", 9)
+    monkeypatch.setattr(ngram_join, "FREQUENT_LOCAL", 2)
+    monkeypatch.setattr(ngram_join, "HOT", 5)
     r = random.Random(6)
     words = [f"w{k}" for k in range(3000)]
     rows = []
@@ -225,7 +227,7 @@ def test_katz_of_odd_and_repeated_rows(spark):
     for chunk in (20, 10**6):
         got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz_lm.score(df, chunk_tokens=chunk).collect())
         assert got == Counter((rows[k][0], *w[:4], round(w[4], 6), round(w[5], 6)) for k, w in want.items())
-    for v in ("a", "again", 1, "unseen"):
+    for v in (("a",), ("again",), (1,), ("unseen",), (1, "a"), ("a", "b"), ("words", "again"), ("x", "y")):
         assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
 
 
@@ -236,7 +238,7 @@ def test_katz_where_every_count_is_large(spark):
     want, conditional, counts = brute.katz(rows)
     got = {r.doc_id: r.score for r in katz_lm.score(df).collect()}
     assert got == pytest.approx({k: w[5] for k, w in want.items()}, rel=1e-9)
-    for v in ("a", "b", 1):
+    for v in (("a",), ("b",), (1,), ("a", "b"), (1, "a")):
         assert sum(conditional(v, w) for w in counts) + conditional(v, "another") == pytest.approx(1)
 
 
