@@ -11,6 +11,11 @@ factors into words and both passes run over all words of a batch at once:
   numbers are a hash of (seed, row key, word's place, position), so a row's
   segmentation depends on nothing but its key, text and seed.
 
+Texts without spaces are long words; these are cut further wherever no piece
+of two or more characters lies across: every path meets there, so the parts
+are lattices of their own and take the same way. What has no such place for
+BLOCK code points is passed in blocks, so memory is bounded by a block.
+
 Piece probabilities: the model's scores are ranks (0, -1, -2, ...), so a
 piece of rank r weighs (r + 10) ** -temperature. Characters that are no piece
 are spelled by the model's 256 byte pieces, each of weight ``byte_weight``; so
@@ -29,14 +34,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, StructField, StructType
 
-from .common import ship
+from .common import pieces, ship
 from .token_counts import tokenizer_path
 
 SPACE = "▁"
-#: Words longer than this (code points) are sampled one by one, with logarithms.
+#: Words longer than this (code points) are cut where no piece lies across.
 LONG = 48
-#: Code points taken together.
-BATCH_CHARS = 4_000_000
+#: Code points of a lattice that is held whole.
+BLOCK = 1 << 16
+#: Code points of texts taken together, and of distinct words in lockstep (some 450 bytes each).
+BATCH_CHARS, TOGETHER = 1_000_000, 130_000
 TEMPERATURE = 1.0
 BYTE_WEIGHT = 1e-7
 SEED = 11
@@ -84,6 +91,7 @@ class Lattice:
                 self.surface[i] = text.encode()
                 self.weight[i] = (max(0.0, -sp.get_score(i)) + 10) ** -temperature if sp.get_score(i) > -1e8 else 40_000.0**-temperature
         self.byte_weight = byte_weight
+        self.kind = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.longest = max(map(len, self.ids))
         self._build()
 
@@ -136,39 +144,86 @@ class Lattice:
         index = _Index()
         word = np.fromiter(map(index.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
         if not len(word):
-            return [np.zeros(0, np.uint16) for _ in texts]
-        words = list(index)
+            return [np.zeros(0, self.kind) for _ in texts]
         row = np.repeat(np.arange(len(texts)), counts)
         place = np.arange(len(word)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
             base = _mix(np.asarray(keys).astype(np.int64).view(np.uint64)[row] * _B + _mix(np.full(1, seed, np.uint64)) + _mix(place.astype(np.uint64) + np.uint64(1)))
-            pieces, at = self._sample(words, word, base)
+            word, whole, shift = self._parts(index, word)
+            # a part's positions count from its word's start
+            pieces, at = self._sample(list(index), word, base[whole] + shift.astype(np.uint64) * _B)
         # at: each piece's occurrence; pieces come per occurrence in text order
-        per_row = np.bincount(row[at], minlength=len(texts)) if len(at) else np.zeros(len(texts), np.int64)
-        return np.split(pieces.astype(np.uint16), np.cumsum(per_row)[:-1])
+        per_row = np.bincount(row[whole[at]], minlength=len(texts)) if len(at) else np.zeros(len(texts), np.int64)
+        return np.split(pieces.astype(self.kind), np.cumsum(per_row)[:-1])
+
+    def _parts(self, index: _Index, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Occurrences with long words cut: (part's number in index, occurrence, offset in its word)."""
+        words = list(index)
+        long_ = [k for k, w in enumerate(words) if len(w) > LONG]
+        parts = [np.array([k]) for k in range(len(words))] if long_ else []
+        offsets = [np.zeros(1, np.int64)] * len(parts)
+        if not parts:
+            return word, np.arange(len(word)), np.zeros(len(word), np.int64)
+        for k, cut in zip(long_, self._cuts([words[k] for k in long_]), strict=True):
+            w = words[k]
+            parts[k] = np.array([index[w[a:b]] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)])
+            offsets[k] = cut[:-1]
+        each = np.array([len(p) for p in parts])
+        n = each[word]
+        whole = np.repeat(np.arange(len(word)), n)
+        at = np.repeat((np.cumsum(each) - each)[word], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.concatenate(parts)[at], whole, np.concatenate(offsets)[at]
+
+    def _cuts(self, words: list[str]) -> list[np.ndarray]:
+        """For each word its ends and the places inside it that no piece lies across."""
+        ends = np.cumsum([len(w) + 1 for w in words])
+        c = np.zeros(ends[-1], np.uint64)
+        inside = np.ones(len(c), bool)
+        inside[ends - 1] = False  # after each word something that is no character
+        c[inside] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        c[~inside] = 0x110000
+        across = np.zeros(len(c) + 1, np.int64)
+        h = c + np.uint64(1)
+        for n in range(2, min(self.longest, len(c)) + 1):  # h: of the n characters from each place
+            h = h[:-1] * _B + c[n - 1 :] + np.uint64(1)
+            start = np.flatnonzero(self.find(h) >= 0)
+            across[start + 1] += 1
+            across[start + n] -= 1
+        free = np.flatnonzero(np.cumsum(across)[:-1] == 0)
+        first = np.r_[0, ends[:-1]]
+        bounds = np.searchsorted(free, np.r_[0, ends])
+        # a word's places run from its start to the one after its last character
+        return [free[a:b] - s for a, b, s in zip(bounds[:-1], bounds[1:], first, strict=True)]
 
     def _sample(self, words: list[str], word: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        length = np.array([len(w) for w in words])
-        cps = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        # words that are only there in parts don't count
+        used = np.zeros(len(words), bool)
+        used[word] = True
+        length = np.array([len(w) if u else 0 for w, u in zip(words, used, strict=True)])
+        cps = np.frombuffer("".join(w for w, u in zip(words, used, strict=True) if u).encode("utf-32-le", "surrogatepass"), np.uint32)
         offset = np.cumsum(length) - length
         got_piece, got_word, got_step = [], [], []
-        for lo, hi in ((0, 3), (3, 5), (5, 7), (7, 9), (9, 12), (12, 16), (16, 28), (28, LONG)):
+        widths = [0, 3, 5, 7, 9, 12, 16, 28, 48]
+        while widths[-1] < min(BLOCK, length.max()):
+            widths.append(min(BLOCK, 2 * widths[-1]))
+        local = np.full(len(words), -1)
+        for lo, hi in zip(widths, widths[1:]):
             group = np.flatnonzero((length > lo) & (length <= hi))
-            for k in range(0, len(group), 16_000):
-                part = group[k : k + 16_000]
-                local = np.full(len(words), -1)
+            size = max(1, min(16_000, TOGETHER // hi))
+            for k in range(0, len(group), size):
+                part = group[k : k + size]
                 local[part] = np.arange(len(part))
                 occ = np.flatnonzero(local[word] >= 0)
-                if len(occ):
-                    for p, o, s in self._lockstep(cps, offset[part], length[part], hi, local[word[occ]], base[occ]):
-                        got_piece.append(p)
-                        got_word.append(occ[o])
-                        got_step.append(s)
-        for w in np.flatnonzero(length > LONG):
-            lattice = self._forward_long(words[w])
+                for p, o, s in self._lockstep(cps, offset[part], length[part], hi, local[word[occ]], base[occ]):
+                    got_piece.append(p)
+                    got_word.append(occ[o])
+                    got_step.append(s)
+                local[part] = -1
+        for w in np.flatnonzero(length > BLOCK):
+            c = cps[offset[w] : offset[w] + length[w]]
             for o in np.flatnonzero(word == w):
-                p = self._backward_long(words[w], lattice, int(base[o]))
-                got_piece.append(np.array(p[::-1], np.int64))
+                p = self._in_blocks(c, base[o])
+                got_piece.append(p)
                 got_word.append(np.full(len(p), o))
                 got_step.append(np.arange(len(p)))
         piece, occ, step = np.concatenate(got_piece), np.concatenate(got_word), np.concatenate(got_step)
@@ -212,7 +267,7 @@ class Lattice:
             alpha[j] = total
             low = (total > 0) & (total < 1e-100)  # rescaled, so that long words don't vanish
             if low.any():
-                alpha[: j + 1, low] /= total[low]
+                alpha[max(0, j - most) : j + 1, low] /= total[low]
         weight = weight.transpose(2, 0, 1)
         ids = np.ascontiguousarray(ids.transpose(2, 0, 1))
         c, by_byte = c.T, by_byte.T
@@ -240,50 +295,64 @@ class Lattice:
                 ascii_, o = ch < 0x80, live[raw]
                 yield spelled_by[ch[ascii_]], o[ascii_], step[o[ascii_]]
                 step[o[ascii_]] += 1
-                for o, ch in zip(o[~ascii_].tolist(), ch[~ascii_].tolist(), strict=True):
-                    spelling = [self.byte_id[b] for b in chr(ch).encode("utf-8", "surrogatepass")][::-1]
-                    yield np.array(spelling), np.full(len(spelling), o), step[o] + np.arange(len(spelling))
-                    step[o] += len(spelling)
+                for n_bytes, low, high, lead in ((2, 0x80, 0x800, 0xC0), (3, 0x800, 0x10000, 0xE0), (4, 0x10000, 0x110000, 0xF0)):
+                    at = (ch >= low) & (ch < high)
+                    o, x = live[raw][at], ch[at]
+                    for k in range(n_bytes if len(o) else 0):  # from the last byte
+                        yield spelled_by[0x80 | x & 0x3F if k < n_bytes - 1 else lead | x], o, step[o]
+                        step[o] += 1
+                        x = x >> 6
             pos[live] = j - n - 1
             live = live[pos[live] > 0]
 
-    # -- long words ------------------------------------------------------------
-
-    def _forward_long(self, word: str) -> list[float]:
-        """Logarithms of alpha."""
-        import math
-
-        alpha = [0.0] + [-math.inf] * len(word)
-        for j in range(1, len(word) + 1):
-            alpha[j] = math.log(sum(math.exp(x - top) for _, _, x in edges)) + top if (edges := self._into(word, j, alpha)) and (top := max(x for _, _, x in edges)) > -math.inf else -math.inf
-        return alpha
-
-    def _into(self, word: str, j: int, alpha: list[float]) -> list[tuple[int, int, float]]:
-        """(length, piece or -1, log weight) of the edges that end at j."""
-        import math
-
-        out = [(n, i, alpha[j - n] + math.log(self.weight[i])) for n in range(1, min(self.longest, j) + 1) if (i := self.ids.get(word[j - n : j])) is not None]
-        ch = word[j - 1]
-        if not self.single[ord(ch)]:
-            out.append((1, -1, alpha[j - 1] + math.log(self.byte_weight) * len(ch.encode("utf-8", "surrogatepass"))))
-        return out
-
-    def _backward_long(self, word: str, alpha: list[float], base: int) -> list[int]:
-        import math
-
-        j, out = len(word), []
-        while j:
-            edges = self._into(word, j, alpha)
-            top = max(x for _, _, x in edges)
-            u = float((_mix(np.full(1, (base + j * int(_B)) % 2**64, np.uint64)) >> np.uint64(11)).astype(np.float64)[0] * 2.0**-53)
-            left = u * sum(math.exp(x - top) for _, _, x in edges)
-            for n, i, x in edges:
-                left -= math.exp(x - top)
-                if left < 0:
-                    break
-            out += [i] if i >= 0 else [self.byte_id[b] for b in word[j - 1].encode("utf-8", "surrogatepass")][::-1]
-            j -= n
-        return out[::-1]
+    # -- lattices beyond a block -----------------------------------------------
+
+    def _rows(self, c: np.ndarray, start: int, end: int, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, weights of the edges into each place, whether its character is spelled, alpha at the end) for places start + 1 .. end.
+
+        alpha: of the ``longest`` places up to start.
+        """
+        most = self.longest
+        low = max(0, start - most)
+        ids, by_byte, x = self._edges(c[low:end], np.zeros(1, np.int64), np.array([end - low]), end - low)
+        ids, by_byte, x = (np.ascontiguousarray(y[..., 0]) for y in (ids[start - low + 1 :], by_byte[start - low :], x[start - low :]))
+        weight = np.zeros((end - start, most))
+        weight[:, : ids.shape[1]] = self.weight[ids]
+        spelled = np.where(x < 0x80, 1, np.where(x < 0x800, 2, np.where(x < 0x10000, 3, 4)))
+        weight[:, 0] = np.where(by_byte, self.byte_weight**spelled, weight[:, 0])
+        alpha = alpha.copy()
+        for j in range(end - start):
+            weight[j] *= alpha[::-1]
+            total = weight[j].sum()
+            alpha[:-1] = alpha[1:]
+            alpha[-1] = total
+            if 0 < total < 1e-100:
+                alpha /= total
+        return ids, weight, by_byte, alpha
+
+    def _in_blocks(self, c: np.ndarray, base: np.uint64) -> np.ndarray:
+        """Sampled pieces of one word, from its end: blocks forwards, keeping what each begins with, then blocks backwards."""
+        starts, begin = range(0, len(c), BLOCK), []
+        alpha = np.zeros(self.longest)
+        alpha[-1] = 1
+        for s in starts:
+            begin.append(alpha)
+            alpha = self._rows(c, s, min(len(c), s + BLOCK), alpha)[3]
+        place = np.arange(len(c) + 1, dtype=np.uint64)
+        u = (_mix(base + place * _B) >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        j, out = len(c), []
+        for s, alpha in zip(reversed(starts), reversed(begin), strict=True):
+            ids, weight, by_byte, _ = self._rows(c, s, min(len(c), s + BLOCK), alpha)
+            cdf = np.cumsum(weight, 1)
+            while j > s:
+                row = cdf[j - s - 1]
+                n = min(int((row <= u[j] * row[-1]).sum()), self.longest - 1)
+                if n == 0 and by_byte[j - s - 1]:
+                    out += [self.byte_id[b] for b in chr(c[j - 1]).encode("utf-8", "surrogatepass")][::-1]
+                else:
+                    out.append(int(ids[j - s - 1, n]))
+                j -= n + 1
+        return np.array(out, np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text's UTF-8 bytes: surfaces joined, less the space put before the first word."""
@@ -298,7 +367,7 @@ def lattice(path: str) -> Lattice:
 
 
 def encode(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
-    """docs (doc_id, text, ...) with all its columns, and _ids (binary, little-endian uint16), _n_pieces, _lossless.
+    """docs (doc_id, text, ...) with all its columns, and _ids (binary, little-endian uint16, uint32 for more than 65,536 pieces), _n_pieces, _lossless.
 
     _lossless: decoding _ids gives the text's UTF-8 bytes. Null and empty texts
     have no pieces. A null doc_id counts as key 0; rows of equal key and text
@@ -312,7 +381,7 @@ def encode(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
         from statuta.llm import piece_lattice as own
 
         model = own.lattice(path)
-        for batch in batches:
+        for batch in pieces(batches, 500):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             keys = np.array([k or 0 for k in batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()).to_pylist()], np.int64)
             ids, k = [], 0
@@ -339,7 +408,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         model = own.lattice(path)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("_ids")).to_pylist()
-            texts = [model.decode(np.frombuffer(i or b"", np.uint16)).decode("utf-8") for i in ids]
+            texts = [model.decode(np.frombuffer(i or b"", model.kind)).decode("utf-8") for i in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "_text"])
 
     from pyspark.sql.types import StringType
