@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import pieces, ship
 
 TABLE_ENTRIES = 20_000
 CACHE_ENTRIES = 1_000_000
@@ -91,7 +91,7 @@ def _frequent(docs: DataFrame, path: str, entries: int) -> dict[str, int]:
         from statuta.llm import token_counts as own
 
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in pieces(batches):
             for t in batch.column(0).to_pylist():
                 if t:
                     seen.update(t.split())
@@ -120,11 +120,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, table_entries: i
         from statuta.llm import token_counts as own
 
         cache = own._worker.setdefault(("cache", path), {})
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            n = []
-            for k in range(0, len(texts), 1000):
-                n += own.count_texts(texts[k : k + 1000], path, table.value, cache, cache_entries)
+            n = own.count_texts(texts, path, table.value, cache, cache_entries)
             yield pa.RecordBatch.from_arrays([ids, batch.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
