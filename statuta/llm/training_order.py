@@ -55,8 +55,8 @@ def feistel(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def encoder(path: str):
-    """Text to a uint16 array, one tiktoken object per process and file."""
+def encoding(path: str):
+    """One tiktoken object per process and file."""
     if path not in _worker:
         import base64
 
@@ -65,11 +65,16 @@ def encoder(path: str):
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _worker[path] = lambda text: np.array(e.encode_ordinary(text), np.uint16)
+        _worker[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _worker[path]
 
 
+def encoder(path: str):
+    """Text to a uint16 array."""
+    encode = encoding(path).encode_ordinary
+    return lambda text: np.array(encode(text), np.uint16)
+
+
 def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD, key: int = KEY, end: int = END) -> DataFrame:
     """Writes shards shard-NNNNNNNN.bin to folder; rows (slot, shard, byte_offset, doc_id, seq, n_tokens, crc).
 
@@ -88,7 +93,7 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import training_order as own
 
-        encode, n, check = own.encoder(path), 0, 0
+        encode, n, check = own.encoding(path).encode_ordinary, 0, 0
         for batch in pieces(batches):
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = -(-(len(encode(t or "")) + 1) // seq_len)
