@@ -14,6 +14,7 @@ writes. The second checks that its partitions hold what the first counted.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -69,9 +70,33 @@ def encoding(path: str):
     return _worker[path]
 
 
+#: Runs of white space that the pattern's engine may not get through.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
+def ids_of(path: str):
+    """Text to its list of ids, the library's own for any text.
+
+    By the pattern, a run of white space is one piece less its last character,
+    which begins what follows; at the text's end the whole run is one. Long runs
+    are taken out so and encoded without the pattern.
+    """
+    whole, piece = encoding(path).encode_ordinary, encoding(path)._encode_single_piece
+
+    def ids(text: str) -> list[int]:
+        out, at = [], 0
+        for m in _LONG_SPACE.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += whole(text[at : m.start()]) + piece(text[m.start() : end])
+            at = end
+        return out + whole(text[at:]) if at else whole(text)
+
+    return ids
+
+
 def encoder(path: str):
     """Text to a uint16 array."""
-    encode = encoding(path).encode_ordinary
+    encode = ids_of(path)
     return lambda text: np.array(encode(text), np.uint16)
 
 
@@ -83,7 +108,8 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
     padding, and the CRC-32 of its record. Records are little-endian uint16,
     padded with the end token. A null or empty text gives one sequence, the
     end token. Repeated rows and null doc_ids are documents of their own; other
-    columns are ignored. An empty table writes nothing. Slots depend on the
+    columns are ignored. An empty table writes nothing. Texts of any length,
+    and runs of white space in them, are encoded whole. Slots depend on the
     input files, their order and the key.
     """
     spark = docs.sparkSession
@@ -93,7 +119,7 @@ def materialise(docs: DataFrame, folder: str, path: str, seq_len: int = SEQ_LEN,
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import training_order as own
 
-        encode, n, check = own.encoding(path).encode_ordinary, 0, 0
+        encode, n, check = own.ids_of(path), 0, 0
         for batch in pieces(batches):
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = -(-(len(encode(t or "")) + 1) // seq_len)
