@@ -85,7 +85,8 @@ def near_duplicates(rows: DataFrame, id_column: str = "vec_id", vector_column: s
     links. Null, empty, zero and non-finite vectors link with nothing;
     vectors of different length don't link. Repeated rows are rows of their
     own that link with each other. A null id takes part but is a component_id
-    only where no member has an id; other columns are ignored.
+    only where no member has an id; other columns are ignored. An empty table gives
+    no rows.
     """
     spark = rows.sparkSession
     ship(spark)

@@ -164,7 +164,8 @@ def search(rows: DataFrame, k: int, query: F.Column | None = None, id_column: st
     different length aren't compared. Repeated rows of an id are queries and
     candidates of their own: each has its own k rows, the others of its id
     among them where they are near. score: the inner product of the original
-    vectors in double precision. Other columns are ignored.
+    vectors in double precision. Other columns are ignored. An empty
+    table gives no rows.
     """
     spark = rows.sparkSession
     ship(spark)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,10 +40,11 @@ _NO_TEXT = frozenset("script style template svg math head title object iframe ca
 #: Any other start tag closes an open head, as text does.
 _IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
+    # an empty comment may end at once, any at --!> too
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     # self-closed, which it isn't where the slash ends a value without quotes
     r"|<(?:svg|math)(?=[\s/])(?:\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+))?+)*+/>"
-    r"|<(?P<raw>script|style|template|svg|title|iframe|noframes|object|canvas|math)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|template|svg|title|iframe|noframes|object|canvas|math|textarea)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z][^>]*>",
     re.S | re.I,
@@ -67,16 +69,16 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
-_attrs_seen: dict[str, tuple[tuple[str, ...], int | None]] = {}
+_attrs_seen: dict[str, tuple[tuple[str, ...], str | None]] = {}
 
 
-def _of_attributes(attrs: str) -> tuple[tuple[str, ...], int | None]:
+def _of_attributes(attrs: str) -> tuple[tuple[str, ...], str | None]:
     if attrs in _attrs_seen:
         return _attrs_seen[attrs]
     names, gold = [], None
     for kind, a, b, c in _NAMES.findall(attrs):
         if kind.lower() == "data-gold":
-            gold = int(a or b or c or 0)
+            gold = a or b or c
         else:
             names += ["." + w.lower() for w in _WORD.findall(a or b or c)]
     if len(_attrs_seen) > 20_000:
@@ -85,11 +87,13 @@ def _of_attributes(attrs: str) -> tuple[tuple[str, ...], int | None]:
     return found
 
 
-def parse(source: str | None) -> Page:
-    """The page's leaf blocks in page order, white space and character references resolved."""
+def parse(source: str | None, labelled: bool = False) -> Page:
+    """The page's leaf blocks in page order, white space and character references resolved. labelled: data-gold is read where it is 0 or 1."""
     page = Page()
     source = source or ""
-    stack: list[tuple[str, int, bool, int | None]] = [("", 0, False, None)]
+    # tag, node, whether in an article, label, node of the nearest element that isn't inline
+    stack: list[tuple[str, int, bool, int | None, int]] = [("", 0, False, None, 0)]
+    opened: Counter = Counter()  # elements on the stack, by tag
     text: list[str] = []
     linked = at = in_link = 0
 
@@ -98,7 +102,7 @@ def parse(source: str | None) -> Page:
         if text:
             t = " ".join("".join(text).split())
             if t:
-                page.blocks.append(Block(stack[-1][1] if stack[-1][0] not in _INLINE else next(n for tag, n, _, _ in reversed(stack) if tag not in _INLINE), t, min(linked, len(t)), stack[-1][3]))
+                page.blocks.append(Block(stack[-1][4], t, min(linked, len(t)), stack[-1][3]))
             text.clear()
         linked = 0
 
@@ -117,6 +121,7 @@ def parse(source: str | None) -> Page:
         nonlocal hidden
         k = next(k for k, s in enumerate(stack) if s[0] == "head")
         hidden -= sum(s[0] in _NO_TEXT for s in stack[k:])
+        opened.subtract(s[0] for s in stack[k:])
         del stack[k:]
 
     for m in _TOKEN.finditer(source):
@@ -133,16 +138,15 @@ def parse(source: str | None) -> Page:
         if m["end"]:
             if tag == "br":
                 close()
-            elif any(s[0] == tag for s in stack[1:]):
+            elif opened[tag] > 0:
                 if tag not in _INLINE:
                     close()
-                while stack[-1][0] != tag:
-                    in_link -= stack[-1][0] == "a"
-                    hidden -= stack[-1][0] in _NO_TEXT
-                    stack.pop()
-                in_link -= tag == "a"
-                hidden -= tag in _NO_TEXT
-                stack.pop()
+                top = ""
+                while top != tag:
+                    top = stack.pop()[0]
+                    opened[top] -= 1
+                    in_link -= top == "a"
+                    hidden -= top in _NO_TEXT
             continue
         if hidden and tag not in _IN_HEAD:
             close_head()
@@ -150,17 +154,20 @@ def parse(source: str | None) -> Page:
             close()
         if tag in _VOID:
             continue
-        if shut := _CLOSES.get(tag):
+        shut = _CLOSES.get(tag)
+        if shut and any(opened[x] > 0 for x in shut):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in shut:
                     for name, *_ in stack[k:]:
                         in_link -= name == "a"
+                        opened[name] -= 1
                     del stack[k:]
                     break
                 if stack[k][0] in _FENCES:
                     break
         names, gold = _of_attributes(m["attrs"]) if m["attrs"] else ((), None)
-        _, up, inside, above = stack[-1]
+        gold = int(gold) if labelled and gold in ("0", "1") else None
+        _, up, inside, above, holder = stack[-1]
         if tag in _INLINE and not names:
             node = up
         else:
@@ -171,7 +178,8 @@ def parse(source: str | None) -> Page:
             continue
         in_link += tag == "a"
         hidden += tag in _NO_TEXT
-        stack.append((tag, node, inside or tag in ("article", "main"), above if gold is None else gold))
+        opened[tag] += 1
+        stack.append((tag, node, inside or tag in ("article", "main"), above if gold is None else gold, holder if tag in _INLINE else node))
     if hidden and source[at:].strip():
         close_head()
     if not hidden:
@@ -249,7 +257,7 @@ def fit(pages: list[str], steps: int = STEPS, rate: float = RATE, decay: float =
     names: dict[str, int] = {}
     rows, cols, gold, first, lengths = [], [], [], [], []
     for source in pages:
-        page = parse(source)
+        page = parse(source, labelled=True)
         if not page.blocks:
             continue
         lengths.append(len(page.blocks))
@@ -385,6 +393,8 @@ def _page(r: random.Random) -> str:
             parts.append(r.choice([f"<p>{prose(1, 8)}</p>"] * 8 + [f"<p>{words(1, 3).capitalize()}.</p>", f"<p>{prose(1, 6)}", f"<p><b>{prose(1, 2)}<br><p>{prose(1, 5)}", f"<h2>{words(1, 6)}</h2>", f"<ul><li>{sentence()}</li><li>{prose(1, 2)}</li></ul>", f"<blockquote><p>{prose(1, 3)}</p></blockquote>", f"<pre>{words(3, 20)}</pre>", f"<table><tr><th>{word()}<th>{word()}<tr><td>{words(1, 3)}<td>{words(1, 3)}</table>", f"<figure><img src='x'><figcaption>{sentence()}</figcaption></figure>", f"<div>{prose(1, 4)}</div>", f"<ol><li>{words(1, 5)}</li><li>{words(1, 5)}</li></ol>"]))
             if r.random() < 0.08:
                 parts.append("</p>" + f'<div data-gold="0">{r.choice((advert, sidebar, notice, formular))()}</div>')
+            if r.random() < 0.08:  # without names: only the tags tell
+                parts.append("</p>" + r.choice((f'<form data-gold="0"><p>{short()}</p><label>{words(1, 3)}</label><textarea>{words(1, 4)}</textarea>{words(1, 2)}<button>{words(1, 2)}</button></form>', f'<form data-gold="0">{short()} <input name="{word()}"> <button>{words(1, 2)}</button></form>', f'<aside data-gold="0"><p>{prose(1, 3)}</p></aside>', f'<aside data-gold="0"><h3>{words(1, 4)}</h3>{r.choice((links(2, 5), prose(1, 2)))}</aside>', f'<nav data-gold="0">{links(2, 5)}</nav>', f'<footer data-gold="0">{prose(1, 2)}</footer>')))
         inner = "".join(parts)
         names = ["content", "article", "post", "entry", "story", "main", "text", "body", "article-body", "entry-content"]
         kind = r.random()
@@ -422,6 +432,9 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
 
     A null or empty html, or a page without article blocks, gives the empty
     text. Whole pages are read and nothing of an article is dropped or capped.
+    Repeated rows stay, other columns are carried (earlier ones of these two
+    names are replaced), and an empty table gives no rows. Attributes of any
+    kind are read as they are: data-gold counts in training alone.
     """
     spark = pages.sparkSession
     pages = pages.drop("_text", "_n_chars")

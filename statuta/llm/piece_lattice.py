@@ -372,6 +372,7 @@ def encode(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
     _lossless: decoding _ids gives the text's UTF-8 bytes. Null and empty texts
     have no pieces. A null doc_id counts as key 0; rows of equal key and text
     get equal segmentations. Whole texts are encoded, whatever their length.
+    An empty table gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.drop("_ids", "_n_pieces", "_lossless")

@@ -248,7 +248,8 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     """docs (doc_id, text, ...) with all its columns, and _score (0 to 1) and _predicted (1 if _score >= threshold).
 
     Null texts count as empty; every text has a score. Repeated rows stay;
-    earlier columns of these two names are replaced.
+    earlier columns of these two names are replaced. An empty table gives no
+    rows.
     """
     spark = docs.sparkSession
     docs = docs.drop("_score", "_predicted")
