@@ -1,13 +1,14 @@
-"""Token counts by a map-side two-tier lookup; no pre-token is ever shuffled.
+"""Token counts by a map-side two-tier lookup; no pre-token of a text is shuffled.
 
 Texts are cut at white space: no pre-token of the tokenizer crosses it, so a
 text's count is the sum of its words' counts. Tier one is a compact table of
 the corpus's most frequent words and their counts, broadcast
 (``table_entries`` rows at most): every task counts the words of all its rows
-and hands on its ``TASK_ENTRIES`` most frequent, whatever it has read, and the
-sums of these summaries are ranked. Tier two is a cache in each Python worker
-that encodes a batch's misses with the library itself and is emptied when it
-reaches ``cache_entries``. Both tiers only save time; they hold what the
+and hands on its ``TASK_ENTRIES`` most frequent, whatever it has read; the
+sums of these summaries, the only words that are shuffled, are ranked. Tier two
+is a cache in each Python worker that encodes a batch's misses with the library
+itself; words beyond ``LONGEST`` are counted and not kept, and the cache is
+emptied when its words reach ``cache_bytes``. Both tiers only save time; they hold what the
 library gives, so results don't depend on what is in them.
 """
 
@@ -25,10 +26,14 @@ from pyspark.sql import functions as F
 from .common import pieces, ship
 
 TABLE_ENTRIES = 20_000
-CACHE_ENTRIES = 1_000_000
+#: Bytes of a worker's cache, by the words' lengths and what an entry takes besides.
+CACHE_BYTES = 150_000_000
+ENTRY_BYTES = 150
 #: Words of a task's summary; and words a task counts at once: beyond, the rarer half goes.
 TASK_ENTRIES, TASK_WORDS = 4_000, 400_000
-#: Code points of a table's word, at most (longer ones are left to the caches).
+#: Code points read until words too long to be kept go.
+TASK_TEXT = 20_000_000
+#: Code points of a word that is kept in the table or a cache, at most.
 LONGEST = 64
 #: White space for Python's split, yet not for the tokenizer; texts with these are encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -62,24 +67,36 @@ def _counter(path: str):
     return _worker[path]
 
 
-def count_texts(texts: list[str], path: str, table: dict[str, int], cache: dict[str, int], cache_entries: int = CACHE_ENTRIES) -> list[int]:
+class Cache(dict):
+    """Words' counts, and how many bytes they take about."""
+
+    size = 0
+
+
+def count_texts(texts: list[str], path: str, table: dict[str, int], cache: Cache, cache_bytes: int = CACHE_BYTES) -> list[int]:
     """Token counts of texts; words missing from table and cache are encoded in one batch."""
     encode = _counter(path)
     plain = [not _ODD_SPACE.search(t) for t in texts] if path.endswith(".json") else [False] * len(texts)
     words = [t.split() if ok else () for t, ok in zip(texts, plain, strict=True)]
-    if len(cache) > cache_entries:
+    if cache.size > cache_bytes:
         cache.clear()
+        cache.size = 0
     unseen = {w for w in set(chain.from_iterable(words)) if w not in table and w not in cache}
+    long_ = [w for w in unseen if len(w) > LONGEST]
     if unseen:
         unseen = list(unseen)
         for k in range(0, len(unseen), 20_000):
             cache.update(zip(unseen[k : k + 20_000], encode(unseen[k : k + 20_000]), strict=True))
+        cache.size += ENTRY_BYTES * len(unseen) + sum(map(len, unseen)) - sum(map(len, long_))
 
     def of(w: str) -> int:
         n = table.get(w)
         return cache[w] if n is None else n
 
-    return [sum(map(of, ws)) if ok else encode([t])[0] for t, ws, ok in zip(texts, words, plain, strict=True)]
+    counts = [sum(map(of, ws)) if ok else encode([t])[0] for t, ws, ok in zip(texts, words, plain, strict=True)]
+    for w in long_:
+        del cache[w]
+    return counts
 
 
 def _frequent(docs: DataFrame, path: str, entries: int) -> dict[str, int]:
@@ -91,13 +108,19 @@ def _frequent(docs: DataFrame, path: str, entries: int) -> dict[str, int]:
         from statuta.llm import token_counts as own
 
         seen: Counter = Counter()
+
+        def shorter(most: int) -> Counter:
+            return Counter(dict(Counter({w: n for w, n in seen.items() if len(w) <= own.LONGEST}).most_common(most)))
+
+        new = 0  # code points that may have become words
         for batch in pieces(batches):
             for t in batch.column(0).to_pylist():
                 if t:
                     seen.update(t.split())
-                if len(seen) > own.TASK_WORDS:
-                    seen = Counter(dict(seen.most_common(own.TASK_WORDS // 2)))
-        top = [(w, n) for w, n in seen.most_common(own.TASK_ENTRIES) if len(w) <= own.LONGEST]
+                    new += len(t)
+                if len(seen) > own.TASK_WORDS or new > own.TASK_TEXT:
+                    seen, new = shorter(own.TASK_WORDS // 2), 0
+        top = shorter(own.TASK_ENTRIES).items()
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["w", "n"])
 
     words = docs.select("text").mapInArrow(summaries, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(entries)
@@ -105,12 +128,13 @@ def _frequent(docs: DataFrame, path: str, entries: int) -> dict[str, int]:
     return dict(zip(words, _counter(path)(words), strict=True)) if words else {}
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 2048, table_entries: int = TABLE_ENTRIES, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 2048, table_entries: int = TABLE_ENTRIES, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens, over_limit), one for each row of docs (doc_id, text, ...).
 
     path: a ``.json`` file (library tokenizers) or ``.model`` (sentencepiece).
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows and null
-    doc_ids are kept; other columns are ignored. Counts are of whole texts.
+    doc_ids are kept; other columns are ignored. Counts are of whole texts. An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -119,10 +143,10 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, table_entries: i
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from statuta.llm import token_counts as own
 
-        cache = own._worker.setdefault(("cache", path), {})
+        cache = own._worker.setdefault(("cache", path), own.Cache())
         for batch in pieces(batches):
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            n = own.count_texts(texts, path, table.value, cache, cache_entries)
+            n = own.count_texts(texts, path, table.value, cache, cache_bytes)
             yield pa.RecordBatch.from_arrays([ids, batch.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))

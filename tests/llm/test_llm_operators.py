@@ -326,7 +326,7 @@ def test_token_counts(spark, corpus, odd, nothing):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted(((i, len((s or "").encode()), len(t.encode(s or "", add_special_tokens=False).ids)) for i, s in rows), key=str)
     assert plain(token_counts.token_counts(df, path), "doc_id", "n_bytes", "n_tokens") == want
-    assert plain(token_counts.token_counts(df, path, table_entries=2, cache_entries=3), "doc_id", "n_bytes", "n_tokens") == want
+    assert plain(token_counts.token_counts(df, path, table_entries=2, cache_bytes=300), "doc_id", "n_bytes", "n_tokens") == want
     assert token_counts.token_counts(nothing, path).count() == 0
     pieces = token_counts.token_counts(df.where("doc_id < 8"), token_counts.tokenizer_path("piece_bpe_32k.model"))
     assert pieces.where("n_tokens > 0").count() > 0
