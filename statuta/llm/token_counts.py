@@ -87,7 +87,7 @@ def count_texts(texts: list[str], path: str, table: dict[str, int], cache: Cache
         unseen = list(unseen)
         for k in range(0, len(unseen), 20_000):
             cache.update(zip(unseen[k : k + 20_000], encode(unseen[k : k + 20_000]), strict=True))
-        cache.size += ENTRY_BYTES * len(unseen) + sum(map(len, unseen)) - sum(map(len, long_))
+        cache.size += ENTRY_BYTES * (len(unseen) - len(long_)) + sum(map(len, unseen)) - sum(map(len, long_))
 
     def of(w: str) -> int:
         n = table.get(w)
