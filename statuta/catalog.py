@@ -194,8 +194,8 @@ def document_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legislation.document_years(texts(spark, sf_dir))
 
 
-#: What exact_titles adds to each text: titles inside words, which don't count, and one that stands twice.
-_NEAR_WORDS = "concat(text, ' Not XCA ', act_year, ' nor CA ', act_year, 'x, but CA ', act_year, '; CA ', act_year, ' too.')"
+#: What exact_titles adds to each text: titles inside words, which don't count, one that stands twice, and one that begins another.
+_NEAR_WORDS = "concat(text, ' Not XCA ', act_year, ' nor CA ', act_year, 'x, but CA ', act_year, '; CA ', act_year, ' too. See The Parts Order No. ', part, ' and Schedule ', line, '.')"
 
 
 @query(
@@ -204,15 +204,15 @@ _NEAR_WORDS = "concat(text, ' Not XCA ', act_year, ' nor CA ', act_year, 'x, but
     + corpus.ACTS
     + ")"
     + _ENHANCED
-    + f""", z as (select id, {_NEAR_WORDS} as x, act_year, case_year from t),
+    + f""", z as (select id, x, unnest(list_distinct(regexp_extract_all(x, '\\b\\d{{4}}\\b'))) as y from (select id, {_NEAR_WORDS} as x from t)),
  h as (select id, candidate_titles as title, ref, citation, unnest(list_filter(generate_series(1, length(x)), lambda i: substr(x, i, length(candidate_titles)) = candidate_titles
    and not regexp_matches(case when i > 1 then substr(x, i - 1, 1) else '' end, '\\w') and not regexp_matches(substr(x, i + length(candidate_titles), 1), '\\w'))) as i
-  from z join e on (cast(e.year as varchar) = act_year or cast(e.year as varchar) = case_year) and contains(x, candidate_titles))
+  from z join e on cast(e.year as varchar) = y and contains(x, candidate_titles))
  select id as uri, title, cast(i - 1 as int) as start, cast(i - 1 + length(title) as int) as "end", 100 as confidence, ref as href, citation as canonical from h"""
 )
 def exact_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = corpus.paragraphs(spark, sf_dir)
-    t = p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.regexp_replace("markup", "<[^>]+>", "").alias("text"), "act_year")
+    t = p.select(F.concat_ws("#", "uri", F.col("para_no").cast("string")).alias("uri"), F.regexp_replace("markup", "<[^>]+>", "").alias("text"), "act_year", "part", "line")
     return legislation.exact_hits(t.select("uri", F.expr(_NEAR_WORDS).alias("text")), _lookup(spark, sf_dir)).select("uri", "title", "start", "end", "confidence", "href", "canonical")
 
 

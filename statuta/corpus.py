@@ -23,17 +23,19 @@ select uri, para_no, part, sec, line, act_year, case_year, para_no % 4 as kind,
   end as markup
 from ({_LINES}) x"""
 
-#: Acts with titles, shared by the lookup queries.
+#: Acts with titles, shared by the lookup queries: those of every year and line, and an order for every part, whose title begins its short title.
 ACTS = """
 select concat('http://statutes.example/', y, '/', n) as ref, cast(y as bigint) as year, concat(y, ' c. ', n) as citation,
        case when n = '1' then concat('Finance Act ', y) when n = '2' then concat('Companies Act ', y) else concat('Customs Order No. ', n) end as title,
        case when n = '1' then concat('Finance Act ', y, ' (short)') when n = '3' then null else concat('Companies Act ', y) end as shorttitle,
        case when n = '2' then concat('CA ', y) else null end as acronymcitation
-from (select distinct cast(year(l_shipdate) as string) as y, cast(l_linenumber as string) as n from lineitem where l_linenumber <= 4) a"""
+from (select distinct cast(year(l_shipdate) as string) as y, cast(l_linenumber as string) as n from lineitem) a
+union all select concat('http://statutes.example/parts/', p_partkey), cast(1992 + p_partkey % 7 as bigint), concat('P ', p_partkey),
+       concat('The Parts Order No. ', p_partkey), concat('The Parts Order No. ', p_partkey, ' and Schedule'), cast(null as string) from part"""
 
 
 def views(spark: SparkSession, sf_dir: str, *tables: str) -> None:
-    for t in tables or ("lineitem", "orders"):
+    for t in tables or ("lineitem", "orders", "part"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
 

@@ -88,3 +88,48 @@ def map_rows(df: DataFrame, schema: str | StructType, function: Callable[[dict],
                     yield pa.RecordBatch.from_pylist(made, arrow)
 
     return df.mapInArrow(mapped, kind)
+
+
+def map_batches(df: DataFrame, schema: str | StructType, function: Callable[[pa.RecordBatch], dict[str, list]], rows: int = 500) -> DataFrame:
+    """Some rows at a time to columns of the schema, for functions that do many rows together."""
+    ship(df.sparkSession)
+    kind = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(kind)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, rows):
+                made = function(batch.slice(k, rows))
+                if made and len(made[arrow.names[0]]):
+                    yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(mapped, kind)
+
+
+def keep_by_group(df: DataFrame, key: str, kept: Callable[[pa.Table], pa.Array], rows: int = 20_000) -> DataFrame:
+    """The rows of df that ``kept`` says, which gets all rows of a key, and those of many keys, in one table. One shuffle; nulls are a key."""
+    ship(df.sparkSession)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) < rows:
+                continue
+            # the last key may go on in the next batch
+            whole = pa.Table.from_batches(held).combine_chunks()
+            keys, cut = whole.column(key), whole.num_rows - 1
+            last = keys[cut].as_py()
+            while cut and keys[cut - 1].as_py() == last:
+                cut -= 1
+            if cut:
+                ready = whole.slice(0, cut)
+                yield from ready.filter(kept(ready)).to_batches()
+            held = whole.slice(cut).to_batches()
+        if held:
+            whole = pa.Table.from_batches(held)
+            yield from whole.filter(kept(whole)).to_batches()
+
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(mapped, df.schema)

@@ -1,9 +1,17 @@
 """Golden cases of the Python text and markup functions."""
 
 import json
+import random
+import time
+import timeit
 
+import numpy as np
+import pytest
+
+from statuta.functions import intervals as I
 from statuta.functions import markup as M
 from statuta.functions import text as T
+from statuta.functions import titles as N
 from statuta.operators import rules as R
 
 
@@ -22,8 +30,6 @@ def test_best_window_is_anchored_at_the_end():
 
 
 def test_bounds_lose_no_window():
-    import random
-
     r = random.Random(4)
     words = "the of Finance Act Companies and Order Duties Customs 2002 1999".split()
     for _ in range(500):
@@ -52,12 +58,90 @@ def test_words_before_a_place():
 
 
 def test_titles_are_whole_words():
-    table = {"CA": [("CA 2002", "2002"), ("CA", None)], "Act": [(" Act", None)]}
-    assert T.occurrences("XCA 2002 CA 2002x, CA 2002 Act", ["2002"], table) == [("CA", 9), ("CA 2002", 19), ("CA", 19), (" Act", 26)]
-    assert T.occurrences("CA 2002", [], {"CA": [("CA 2002", "2002")]}) == [] and T.occurrences(None, None, table) == []
+    trie = N.Trie(["CA 2002", "CA", " Act", "CA  2003"], [["2003", "2002"], None, None, None])
+    find = lambda text, years: [(trie.phrases[p], s, y) for _, p, s, y in zip(*trie.find([text], [years]), strict=True)]
+    assert find("XCA 2002 CA 2002x, CA 2002 Act", ["2002"]) == [("CA", 9, None), ("CA", 19, None), ("CA 2002", 19, "2002"), (" Act", 26, None)]
+    assert find("CA 2002", []) == find("CA 2002", None) == [("CA", 0, None)] and find(None, None) == find("", []) == []
+    assert find("CA  2003 CA 2003", []) == [("CA", 0, None), ("CA  2003", 0, None), ("CA", 9, None)]
+    assert N.Trie([]).find(["a"], [None]) == ([], [], [], []) and N.Trie(["", " "]).find(["a "], [None])[0] == []
     assert T.act_years("Pact 2002, Act 2003, Act 20045") == [(19, "2003")]
 
 
+def test_trie_equals_plain_search():
+    r = random.Random(6)
+    some = ["The", "the", "Order", "No", ".", "1", "12", "(", ")", "of", "Act", "é"]
+    for _ in range(200):
+        say = lambda n: "".join(r.choice(some) + r.choice((" ", " ", " ", "", "  ")) for _ in range(r.randint(1, n)))
+        phrases, texts = sorted({say(4) for _ in range(12)}), [say(40) for _ in range(5)]
+        text, phrase, start, _ = N.Trie(phrases).find(texts, [None] * 5)
+        want = [(k, p, i) for k, t in enumerate(texts) for p in phrases for i in range(len(t)) if T.stands_at(t, p, i)]
+        assert sorted(zip(text, (phrases[p] for p in phrase), start, strict=True)) == sorted(want)
+
+
+def test_time_does_not_follow_the_number_of_titles():
+    r = random.Random(2)
+    some = ["The"] + [f"w{k}" for k in range(300)]
+    text, took = " ".join(r.choice(["The", "of", *some[:40]]) for _ in range(6000)), []
+    for n in (1_000, 50_000):
+        trie = N.Trie(sorted({"The " + " ".join(r.choice(some) for _ in range(r.randint(1, 7))) for _ in range(n)}))
+        took.append(min(timeit.repeat(lambda t=trie: t.find([text], [None]), number=3, repeat=5)))
+    assert took[1] < 2 * took[0]
+
+
+LAW = "Finance Companies Housing Adoption Children and of the Criminal Justice Local Government Planning Energy Health Social Care Transport Education Police Road Traffic Wales Scotland Water Industry Insolvency Pensions Electricity Agriculture Merchant Shipping Income Tax Rent Land".split()
+
+
+def edited(r, title, most):
+    t = list(title)
+    for _ in range(r.randint(0, most)):
+        k = r.randrange(max(1, len(t) - 9))
+        kind = r.random()
+        if kind < 0.4:
+            del t[k]
+        elif kind < 0.8:
+            t.insert(k, r.choice("abc e"))
+        else:
+            t[k] = "x"
+    return "".join(t)
+
+
+@pytest.mark.parametrize("cutoff", [70, 90, 97])
+def test_index_loses_no_pair(cutoff):
+    r = random.Random(cutoff)
+    titles = sorted({" ".join(r.choice(LAW) for _ in range(r.randint(1, 6))) + r.choice((" Act 1998", " Act 1998", " Act 1998 (short)")) for _ in range(300)})
+    index, every = N.NearTitles(titles, cutoff, 5), [T.Likeness(t, cutoff, 5) for t in titles]
+    for _ in range(200):
+        text = "it was said of " + edited(r, r.choice(titles), 7)
+        window = T.Window(text, len(text))
+        assert {(titles[k], s, at) for k, s, at in index.find(window)} == {(x.title, *b) for x in every if (b := x.best(window))}
+    if cutoff == 90:
+        assert index.compared < 0.02 * index.pairs
+
+
+def test_containment_sweeps_equal_pairs():
+    r = np.random.default_rng(1)
+    for _ in range(150):
+        n = int(r.integers(1, 50))
+        g, idx, s, c = r.integers(0, 4, n), r.permutation(n), r.integers(0, 30, n), r.integers(0, 4, n)
+        e = s + r.integers(0, 15, n)
+        for strict in (False, True):
+            want = np.zeros(n, bool)
+            for a in range(n):
+                for b in range(n):
+                    inside = s[a] >= s[b] and e[a] <= e[b] or not strict and s[b] >= s[a] and e[b] <= e[a]
+                    if g[a] == g[b] and idx[a] < idx[b] and inside:
+                        want[a if c[a] <= c[b] else b] = True
+            assert (I.losers(g, idx, s, e, c, strict) == want).all()
+
+
+def test_a_hundred_thousand_nested_hits():
+    n = 100_000
+    for strict in (False, True):
+        began = time.time()
+        lost = I.losers(np.zeros(n, int), np.random.default_rng(2).permutation(n), np.arange(n), 2 * n - np.arange(n), np.random.default_rng(3).integers(90, 101, n), strict)
+        assert time.time() - began < 5 and lost.sum() > n // 2
+
+
 def test_abbreviations():
     assert T.abbreviations('the Value Added Tax ("VAT")') == [("VAT", "Value Added Tax", 20)]
     assert [x[:2] for x in T.abbreviations('found in the Companies Act 2006 ("CA 2006")')] == [("CA 2006", "Companies Act 2006")]
