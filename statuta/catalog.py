@@ -13,8 +13,8 @@ from .functions import scalars as S
 from .operators import abbreviations, caselaw, graph, legislation, lookup, oblique, provisions, replacing, rules
 from .plans import enrich
 from .session import map_rows, shared_folder, stored
-from .sources import readers, writers
-from .streaming import messages
+from .sources import documents, log, readers, writers
+from .streaming import attempts, messages
 
 # -- a small rule manifest, in the documented format -----------------------------------
 
@@ -525,24 +525,26 @@ def last_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select distinct concat('d/', user_id) as uri, case when user_id % 10 = 3 then 'no document' when user_id % 10 = 4 then 'no proprietary element' else 'enriched' end as outcome
- from events where user_id % 7 <> 0"""
+    f"""with e as ({ORACLE_SQL["enrich_judgments"]}), u as (select distinct cast(user_id as varchar) as uri, user_id % 10 as k from events where user_id % 7 <> 0)
+ select u.uri, case when k not in (3, 4) then e.xml end as xml, case when k = 3 or e.uri is null then 'no document' when k = 4 then 'no proprietary element' end as error, cast(case when k in (3, 4) or e.uri is null then 4 else 0 end as int) as attempts
+ from u left join e on e.uri = u.uri"""
 )
 def stream_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a stream of messages; the documents they ask for, or the reason why not."""
+    """Events as a stream of messages: the documents they ask for, enriched by the whole plan, or the reason why not, after four attempts."""
     source = f"{sf_dir}/events.parquet"
     # a pattern, since a stream's source is a folder or a pattern
     e = spark.readStream.schema(spark.read.parquet(source).schema).parquet(f"{sf_dir}/events.parque[t]")
-    message = F.to_json(F.struct(F.lit("published").alias("status"), F.concat(F.lit("d/"), F.col("user_id").cast("string")).alias("uri_reference")))
+    message = F.to_json(F.struct(F.lit("published").alias("status"), F.col("user_id").cast("string").alias("uri_reference")))
     body = F.to_json(F.struct(message.alias("Message"), F.when(F.col("user_id") % 7 == 0, F.lit("s3:TestEvent")).alias("Event")))
     sent = e.select(F.col("event_id").cast("string").alias("message_id"), F.col("ts").cast("timestamp").alias("ts"), body.alias("body"))
-    users = table(spark, sf_dir, "events").select("user_id").distinct().where("user_id % 10 <> 3")
-    stamp = F.when(F.col("user_id") % 10 != 4, F.lit("<proprietary></proprietary>")).otherwise(F.lit(""))
-    docs = users.select(F.concat(F.lit("d/"), F.col("user_id").cast("string")).alias("uri"), F.concat(F.lit('<j><FRBRManifestation><FRBRdate date="1" name="x"/></FRBRManifestation>'), stamp, F.lit("</j>")).alias("xml"))
+    users = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("uri"), F.col("user_id").alias("k")).distinct().where("k % 10 <> 3")
+    kept = F.when(F.col("k") % 10 == 4, F.replace("xml", F.lit("<proprietary></proprietary>"), F.lit(""))).otherwise(F.col("xml"))
+    judgments = stored(_judgments(spark, sf_dir).join(users, "uri").select("uri", kept.alias("xml")), "judgments")
+    rules_, known = manifest(spark), stored(_lookup(spark, sf_dir), "lookup")
     out = _folder(spark, "stream")
-    messages.enrich_stream(sent, docs, replacing.stamped, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    done = writers.read_documents(spark, f"{out}/table/documents").where("xml like '%enriched%'").select("uri", F.lit("enriched").alias("outcome"))
-    return done.unionByName(spark.read.schema("uri string, error string").parquet(f"{out}/table/errors").select("uri", F.col("error").alias("outcome")))
+    attempts.drain(lambda: attempts.enrich_stream(sent, judgments, lambda docs: enrich.enrich(docs, rules_, known), f"{out}/table", f"{out}/checkpoint"))
+    done = documents.read(spark, f"{out}/table/documents").select("uri", F.regexp_replace("xml", r'<FRBRdate date="[^"]*" name="enriched"/>', "").alias("xml"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("attempts"))
+    return done.unionByName(attempts.dead_letters(spark, f"{out}/table").select("uri", F.lit(None).cast("string").alias("xml"), "error", "attempts"))
 
 
 @query("select event_id, concat('d/', user_id) as uri, case when user_id % 3 = 0 then concat('<d a=\"1\" b=\"', user_id, '\"></d>') end as xml from events")
@@ -566,7 +568,7 @@ def _folder(spark: SparkSession, name: str) -> str:
 def _put(spark: SparkSession, path: str, lines: DataFrame, column: str) -> None:
     """Files of given names (name, and a column with the text), for sources that read names; a small table."""
     for r in lines.collect():
-        files, p = writers._files(spark, f"{path}/{r['name']}")
+        files, p = log.files(spark, f"{path}/{r['name']}")
         out = files.create(p, True)
         out.write(bytearray(r[column].encode()))
         out.close()
@@ -619,14 +621,19 @@ def published_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("id", F.col("place").cast("int").alias("place"), F.explode("t").alias("attribute", "value"))
 
 
-@query("select concat('c/', c_custkey) as uri, concat('<d>', case when c_custkey % 3 = 0 then 'second ' else 'first ' end, c_name, '</d>') as xml from customer where c_custkey % 5 <> 1 or c_custkey % 3 = 0")
+@query("select concat('c/', c_custkey) as uri, concat('<d>', case when c_custkey % 3 = 0 then 'second ' when c_custkey % 5 = 2 then 'third ' else 'first ' end, c_name, '</d>') as xml from customer where c_custkey % 5 <> 1 or c_custkey % 3 = 0")
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written, some written anew and some added, twice."""
+    """Documents added in batches, one of them twice, with a uri twice in a batch, and a compaction between them."""
     path, c = _folder(spark, "documents"), table(spark, sf_dir, "customer")
     version = lambda rows, word: rows.select(F.concat(F.lit("c/"), F.col("c_custkey").cast("string")).alias("uri"), F.concat(F.lit(f"<d>{word} "), "c_name", F.lit("</d>")).alias("xml"))
-    for rows, word in ((c.where("c_custkey % 5 <> 1"), "first"), (c.where("c_custkey % 3 = 0"), "second"), (c.where("c_custkey % 3 = 0"), "second")):
-        writers.documents(version(rows, word), path)
-    return writers.read_documents(spark, path)
+    first, third, second = c.where("c_custkey % 5 <> 1"), c.where("c_custkey % 5 = 2"), c.where("c_custkey % 3 = 0")
+    documents.append(version(first, "earlier").unionByName(version(first, "first")), path, "1")
+    documents.append(version(third, "third"), path, "2")
+    documents.compact(spark, path)
+    documents.append(version(first, "again"), path, "1")
+    documents.append(version(second, "second"), path, "3")
+    documents.append(version(second, "again"), path, "3")
+    return documents.read(spark, path)
 
 
 _XSD = """<?xml version="1.0"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="d"><xs:complexType><xs:sequence>

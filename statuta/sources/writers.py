@@ -1,4 +1,4 @@
-"""Sinks. Keyed overwrites and published versions stand for locks and in-place patches."""
+"""Sinks: copies for other systems, published rules, the lookup table in a database. The table of documents is in ``documents``."""
 
 from __future__ import annotations
 
@@ -6,41 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.rules import publishable
-from ..session import stored
-
-BUCKETS = 64
-
-
-def _files(spark: SparkSession, path: str):
-    """(file system, path) of Hadoop's, so that any store that Spark writes to will do."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def documents(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Documents (uri, xml, ...) put into the table at path, replacing those of the same uri: running again gives the same table.
-
-    The table is partitioned by a hash of the uri, and only the partitions
-    that the new documents fall into are written anew (stored first, so a
-    failure leaves the table as it was or those partitions new).
-    """
-    spark = df.sparkSession
-    new = stored(df.withColumn("bucket", F.pmod(F.xxhash64("uri"), F.lit(buckets)).cast("int")), "documents-new")
-    files, p = _files(spark, path)
-    if files.exists(p):
-        old = spark.read.schema(new.schema).parquet(path)
-        kept = old.join(F.broadcast(new.select("bucket").distinct()), "bucket", "left_semi").join(new.select("uri"), "uri", "left_anti")
-        new = stored(kept.select(new.columns).unionByName(new), "documents-merged")
-    new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-
-
-def read_documents(spark: SparkSession, path: str, schema: str = "uri string, xml string") -> DataFrame:
-    """The table's documents, without the column it is partitioned by."""
-    return spark.read.schema(schema).parquet(path).drop("bucket")
-
+from . import log
 
 def external_copy(df: DataFrame, path: str) -> None:
     """Documents as JSON lines (uri, xml) for another system, instead of the table."""
@@ -48,27 +16,19 @@ def external_copy(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, path: str) -> str:
-    """df as the newest version under path: readers go on with the version before until the new one is whole."""
-    at = f"{path.rstrip('/')}/version={uuid.uuid4().hex}"
-    df.write.text(at)
-    files, pointer = _files(df.sparkSession, f"{path.rstrip('/')}/current")
-    files.mkdirs(pointer.getParent())
-    staged = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/current.{uuid.uuid4().hex}")
-    out = files.create(staged, True)
-    out.write(bytearray(at.encode()))
-    out.close()
-    files.delete(pointer, False)
-    if not files.rename(staged, pointer):
-        raise OSError(f"{pointer} couldn't be written")
-    return at
+    """df as the newest version under path. Its files are written first and a log entry then names them: readers have the version before or the new one, whole."""
+    path, version = path.rstrip("/"), f"version={uuid.uuid4().hex}"
+    df.write.text(f"{path}/{version}")
+    log.commit(df.sparkSession, path, {"data": version})
+    return f"{path}/{version}"
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The lines of the newest version."""
-    try:
-        return spark.read.text(spark.read.text(f"{path.rstrip('/')}/current").first()["value"])
-    except AnalysisException as e:
-        raise FileNotFoundError(f"nothing is published under {path}") from e
+    found = log.entries(spark, path)
+    if not found:
+        raise FileNotFoundError(f"nothing is published under {path}")
+    return spark.read.text(f"{path.rstrip('/')}/{found[-1]['data']}")
 
 
 def rules(manifest: DataFrame, path: str, table: str | None = None) -> bool:

@@ -1,15 +1,14 @@
-"""Messages that ask for documents: decoding, routing, and the stream around the enrichment."""
+"""Messages that ask for documents: decoding and routing."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import document_key
-from ..session import map_rows, stored
-from ..sources import writers
+from ..session import map_rows
 
 INNER = "status string, uri_reference string"
 
@@ -50,25 +49,3 @@ def objects(records: DataFrame, documents: DataFrame) -> DataFrame:
 
     wanted = documents.join(records.select(key.alias("uri")).distinct(), "uri", "left_semi")
     return records.withColumn("uri", key).join(map_rows(wanted, "uri string, xml string", of), "uri", "left")
-
-
-def enrich_stream(messages: DataFrame, judgments: DataFrame, enrich: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, watermark: str = "1 hour", trigger: dict | None = None):
-    """Starts the stream: messages (message_id, ts, body) -> the documents they name, enriched, in the table ``out/documents``.
-
-    A message repeated within the watermark runs once. Documents replace
-    earlier versions of themselves, so a batch that runs again changes
-    nothing. What can't be enriched, for its own error or because there is no
-    such document, goes to ``out/errors`` (uri, error), by batch. trigger:
-    as for a stream; all that is there, once, by default.
-    """
-    asked = decoded(without_tests(messages)).withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["uri_reference", "message_id"])
-
-    def batch(rows: DataFrame, number: int) -> None:
-        wanted = stored(rows.select(F.col("uri_reference").alias("uri")).distinct(), "asked")
-        done = stored(enrich(judgments.join(wanted, "uri", "left_semi")).select("uri", "xml", "error"), "enriched")
-        writers.documents(done.where("error is null and xml is not null").select("uri", "xml"), f"{out}/documents")
-        missing = wanted.join(done.select("uri"), "uri", "left_anti").select("uri", F.lit("no document").alias("error"))
-        bad = done.where("error is not null or xml is null").select("uri", F.coalesce("error", F.lit("no document")).alias("error"))
-        bad.unionByName(missing).write.mode("overwrite").parquet(f"{out}/errors/batch={number}")
-
-    return asked.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -9,8 +9,6 @@ from statuta import catalog
 from statuta.functions import scalars as S
 from statuta.functions import spans as P
 from statuta.operators import legislation, lookup, oblique, provisions, replacing
-from statuta.sources import writers
-from statuta.streaming import messages
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"enrich_judgments", "fuzzy_titles"}
@@ -134,23 +132,6 @@ def test_wire_round_trip(spark):
     assert replacing.decoded(other).count() == 0
 
 
-def test_messages_stream(spark, tmp_path):
-    import json
-
-    body = lambda u: json.dumps({"Message": json.dumps({"status": "published", "uri_reference": u})})
-    rows = [("1", "2024-01-01 00:00:00", body("a")), ("1", "2024-01-01 00:00:01", body("a")), ("2", "2024-01-01 00:00:02", json.dumps({"Event": "s3:TestEvent"})), ("3", "2024-01-01 00:00:03", body("b"))]
-    source = spark.createDataFrame(rows, "message_id string, ts string, body string").selectExpr("message_id", "cast(ts as timestamp) ts", "body")
-    source.write.parquet(str(tmp_path / "in"))
-    docs = spark.createDataFrame([("a", "<p>1</p>"), ("c", "<p>2</p>")], "uri string, xml string")
-    for version in ("1", "2"):
-        plan = lambda d, v=version: d.selectExpr("uri", f"concat(xml, '{v}') xml", "cast(null as string) error")
-        q = messages.enrich_stream(spark.readStream.schema(source.schema).parquet(str(tmp_path / "in")), docs, plan, str(tmp_path / "out"), str(tmp_path / f"check{version}"))
-        q.awaitTermination(120)
-        # a later run replaces the document
-        assert [tuple(r) for r in writers.read_documents(spark, str(tmp_path / "out" / "documents")).collect()] == [("a", f"<p>1</p>{version}")]
-    assert [(r.uri, r.error) for r in spark.read.parquet(str(tmp_path / "out" / "errors")).collect()] == [("b", "no document")]
-
-
 def test_enrichment_plan(spark):
     from statuta.functions.markup import sanitise, well_formed, without_tags
     from statuta.plans import enrich

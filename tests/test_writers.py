@@ -8,18 +8,6 @@ from statuta.operators import legislation, rules
 from statuta.sources import readers, writers
 
 
-def test_documents_by_key(spark, tmp_path):
-    path = str(tmp_path / "documents")
-    version = lambda ids, word: spark.createDataFrame([(f"u{k}", f"{word} {k}") for k in ids], "uri string, xml string")
-    writers.documents(version(range(50), "first"), path, buckets=4)
-    writers.documents(version(range(40, 60), "second"), path, buckets=4)
-    writers.documents(version(range(40, 60), "second"), path, buckets=4)
-    writers.documents(version([], "none"), path, buckets=4)
-    got = dict(map(tuple, writers.read_documents(spark, path).collect()))
-    assert got == {f"u{k}": f"{'second' if k >= 40 else 'first'} {k}" for k in range(60)}
-    assert writers.read_documents(spark, path).count() == 60
-
-
 def test_published_versions(spark, tmp_path):
     path = str(tmp_path / "lines")
     with pytest.raises(FileNotFoundError):
