@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +48,44 @@ def closure(triples: DataFrame, predicate: str) -> DataFrame:
         discard(before)
         reach *= 2
     return found
+
+
+#: Rules over triples. (sub, p, q): what p holds, q holds. (inverse, p, q): q holds it the other way round. (chain, p, q, r): p and then q is r.
+CITATION_RULES = (
+    ("sub", "cites", "mentions"),
+    ("inverse", "cites", "citedIn"),
+    ("inverse", "mentions", "mentionedIn"),
+    ("chain", "partOf", "partOf", "partOf"),
+    ("chain", "mentions", "partOf", "mentions"),
+)
+
+
+def entailed(triples: DataFrame, rules: tuple[tuple[str, ...], ...] = CITATION_RULES) -> DataFrame:
+    """All triples (s, p, o) that follow from these by the rules, these included: a stored table.
+
+    Semi-naive: a round applies the rules to what the round before found,
+    chains to that on either side, and keeps what is new; it ends when nothing
+    is. Every round is stored. Triples with nulls are left out.
+    """
+    one = lambda t, p, a="s", b="o": t.where(F.col("p") == p).select(F.col("s").alias(a), F.col("o").alias(b))
+    as_triples = lambda t, p: t.select("s", F.lit(p).alias("p"), "o")
+    every = stored(triples.select("s", "p", "o").dropna().distinct(), "triples")
+    parts, new = [every], every
+    while True:
+        known, made = functools.reduce(DataFrame.unionAll, parts), []
+        for kind, p, q, *r in rules:
+            if kind == "chain":
+                made.append(as_triples(one(new, p, b="m").join(one(known, q, a="m"), "m"), r[0]))
+                if len(parts) > 1:
+                    made.append(as_triples(one(known, p, b="m").join(one(new, q, a="m"), "m"), r[0]))
+            else:
+                made.append(as_triples(one(new, p) if kind == "sub" else one(new, p, a="o", b="s"), q))
+        fresh = stored(functools.reduce(DataFrame.unionAll, made).distinct().join(known, ["s", "p", "o"], "left_anti"), "triples-new")
+        if fresh.isEmpty():
+            discard(fresh)
+            break
+        new = fresh
+        parts.append(fresh)
+    out = stored(known, "triples-all")
+    discard(*parts)
+    return out

@@ -13,12 +13,22 @@ OPTIONAL = ("citation", "acronymcitation", "year", "shorttitle")
 
 
 def from_triples(triples: DataFrame, type_predicate: str = "type", type_value: str = "act", required: tuple[str, ...] = REQUIRED, optional: tuple[str, ...] = OPTIONAL) -> DataFrame:
-    """Basic graph pattern: subjects of the type with every required predicate (inner joins), optional ones where present (left joins), distinct."""
-    out = triples.where((F.col("p") == type_predicate) & (F.col("o") == type_value)).select(F.col("s").alias("ref"))
-    for how, names in (("inner", required), ("left", optional)):
-        for name in names:
-            out = out.join(triples.where(F.col("p") == name).select(F.col("s").alias("ref"), F.col("o").alias(name)), "ref", how)
-    return out.distinct()
+    """Basic graph pattern: subjects of the type with every required predicate, optional ones where present, distinct.
+
+    The pattern is a star, so one scan and one shuffle by subject gather the
+    values of each predicate; a subject has a row for every combination of
+    them, as joins of the triples would give.
+    """
+    o, p = F.struct("o"), F.col("p")
+    star = triples.where(F.col("s").isNotNull() & p.isin(type_predicate, *required, *optional)).groupBy(F.col("s").alias("ref"))
+    # a struct keeps a null value apart from none
+    values = star.agg(F.max((p == type_predicate) & (F.col("o") == type_value)).alias("_typed"), *[F.collect_set(F.when(p == name, o)).alias(name) for name in (*required, *optional)])
+    out = values.where("_typed").drop("_typed")
+    for name in required:
+        out = out.withColumn(name, F.explode(name))
+    for name in optional:
+        out = out.withColumn(name, F.explode_outer(name))
+    return out.select("ref", *[F.col(name)["o"].alias(name) for name in (*required, *optional)])
 
 
 def changed_since(acts: DataFrame, days: int | None, today: Column | None = None) -> DataFrame:

@@ -32,12 +32,12 @@ def published(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rules(manifest: DataFrame, path: str, table: str | None = None) -> bool:
-    """Publishes the patterns, one a line, if every rule is found by its own example; the manifest's table is replaced. False where the test fails."""
+    """Publishes the patterns, one a line, if every rule is found by its own example; the manifest's table, whose files are beside them, is replaced. False where the test fails."""
     if not publishable(manifest).first()["ok"]:
         return False
     publish(manifest.select(F.col("pattern").alias("value")), path)
     if table:
-        manifest.write.mode("overwrite").saveAsTable(table)
+        manifest.write.mode("overwrite").option("path", f"{path.rstrip('/')}/table").saveAsTable(table)
     return True
 
 

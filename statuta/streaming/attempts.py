@@ -118,7 +118,10 @@ def enrich_stream(messages: DataFrame, judgments: DataFrame | Callable[[], DataF
         live = todo.where("not dead").select("uri", "attempt")
         if not live.isEmpty():
             docs = judgments() if callable(judgments) else judgments
-            done = stored(enrich(docs.join(live.select("uri"), "uri", "left_semi")).select("uri", "xml", "error"), "enriched")
+            made = enrich(docs.join(live.select("uri"), "uri", "left_semi"))
+            done = stored(made.select("uri", "xml", "error"), "ended")
+            if hasattr(made, "stored_at"):
+                discard(made)
             right = done.where("error is null and xml is not null").select("uri", "xml")
             documents.append(right, f"{out}/documents", f"{run}/{number}")
             how = live.join(right.select("uri").distinct().withColumn("ok", F.lit(True)), "uri", "left").join(done.groupBy("uri").agg(F.min("error").alias("error")), "uri", "left")
