@@ -445,6 +445,19 @@ def paragraph_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replacing.paragraph_rows(d).select(F.col("uri").cast("bigint").alias("page_id"), "para_no", "markup")
 
 
+@query(
+    """with d as (select doc_id, concat('<p>in ', coalesce(source, ''), '</p>') as inner_ from documents)
+ select doc_id, 0 as para_no, concat('<p a="x > y">', doc_id, inner_, '<![CDATA[</p><p>]]></p>') as markup from d union all select doc_id, 1, inner_ from d union all select doc_id, 2, '<p/>' from d
+ union all select doc_id, 3, '<p >new <!-- </p> --> tail</p >' from d"""
+)
+def paragraph_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs inside each other, and tags in comments, CDATA sections, instructions and attributes, which aren't tags."""
+    d = table(spark, sf_dir, "documents")
+    inner = F.concat(F.lit("<p>in "), F.coalesce("source", F.lit("")), F.lit("</p>"))
+    xml = F.concat(F.lit('<d><!-- <p>no</p> --><?p <p> ?><p a="x > y">'), F.col("doc_id").cast("string"), inner, F.lit("<![CDATA[</p><p>]]></p><p/><pre>no</pre><p >new <!-- </p> --> tail</p ></d>"))
+    return replacing.paragraph_rows(d.select(F.col("doc_id").cast("string").alias("uri"), xml.alias("xml"))).select(F.col("uri").cast("bigint").alias("doc_id"), "para_no", "markup")
+
+
 #: Own refs inside each other, a foreign one, an earlier run's stamps and another date.
 _EARLIER = ('<ref uk:origin="OWN">a <ref>b</ref></ref><ref uk:origin="other">c</ref><FRBRdate date="1" name="enriched"/><FRBRdate date="2" name="made"/><uk:enrichment-engine>0</uk:enrichment-engine>', 'a b<ref uk:origin="other">c</ref><FRBRdate date="2" name="made"/>')
 

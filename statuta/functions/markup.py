@@ -7,9 +7,12 @@ import re
 import xml.etree.ElementTree as ET
 from dataclasses import dataclass
 
-_PIECES = re.compile(r"(<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^>]+>)", re.S)
+from .patterns import LEGISLATION_REF, NUMBERED, OBLIQUE, SECTION
+
+_PIECES = re.compile(r"(<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*>|<[^>]+>)", re.S)
 _NAME = re.compile(r"</?([^\s/>]+)")
-_PARAGRAPH = re.compile(r"<p(?:\s[^>]*)?/>|<p(?:\s[^>]*)?>.*?</p\s*>", re.S)
+#: What may hide a paragraph's tags, and these.
+_PARAGRAPH = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<\?.*?(?:\?>|\Z)|<(?P<end>/?)p(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _BODY = re.compile("content|intro|wrapUp")
 
 
@@ -48,8 +51,32 @@ def body_text(xml: str | None) -> str:
 
 
 def paragraphs(xml: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, markup) of every <p>, in order; paragraphs don't nest."""
-    return [(m.start(), m.end(), m[0]) for m in _PARAGRAPH.finditer(xml or "")]
+    """(start, end, markup) of every <p>, in the order in which they begin; one inside another is one of its own.
+
+    Tags in comments, CDATA sections and processing instructions aren't tags.
+    Where some paragraph isn't closed, as in web pages, none is taken to be
+    inside another: each ends at the next closing tag.
+    """
+    tags = [m for m in _PARAGRAPH.finditer(xml or "") if m["end"] is not None]
+    found: list[list] = []
+    open_: list[int] = []
+    for m in tags:
+        if m["end"]:
+            if open_:
+                found[open_.pop()][1] = m.end()
+        else:
+            if not m[0].endswith("/>"):
+                open_.append(len(found))
+            found.append([m.start(), m.end()])
+    if open_:
+        found, start = [], None
+        for m in tags:
+            if not m["end"] and start is None:
+                start = m.start()
+            if start is not None and (m["end"] or m[0].endswith("/>") and start == m.start()):
+                found.append([start, m.end()])
+                start = None
+    return [(start, end, xml[start:end]) for start, end in found]
 
 
 def sanitise(xml: str | None, profile: Profile = Profile()) -> str | None:
@@ -92,7 +119,9 @@ def splice_all(body: str | None, replacements: list[tuple[str, str]], first_only
     of.pop("", None)
     if not of:
         return body
-    pattern = re.compile("|".join(re.escape(m) for m in sorted(of, key=lambda m: (-len(m), m))))
+    mentions = sorted(m for m in of if m in body)
+    if not mentions:
+        return body
     out, inside = [], 0
     for piece in _PIECES.split(body):
         if piece.startswith("<") and piece.endswith(">"):
@@ -103,15 +132,19 @@ def splice_all(body: str | None, replacements: list[tuple[str, str]], first_only
         elif inside > 0 or not piece:
             out.append(piece)
         else:
-            done: set[str] = set()
-
-            def put(m: re.Match, done: set[str] = done) -> str:
-                if first_only and m[0] in done:
-                    return m[0]
-                done.add(m[0])
-                return of[m[0]]
-
-            out.append(pattern.sub(put, piece))
+            # where each mention stands next; the leftmost goes first, of these the longest
+            places, at, done = {m: k for m in mentions if (k := piece.find(m)) >= 0}, 0, set()
+            while places:
+                m = min(places, key=lambda m: (places[m], -len(m), m))
+                out += [piece[at : places[m]], m if first_only and m in done else of[m]]
+                at = places[m] + len(m)
+                done.add(m)
+                for other in [o for o, k in places.items() if k < at]:
+                    if (k := piece.find(other, at)) >= 0:
+                        places[other] = k
+                    else:
+                        del places[other]
+            out.append(piece[at:])
     return "".join(out)
 
 
@@ -178,3 +211,38 @@ def stamp(xml: str | None, when: str, profile: Profile = Profile()) -> tuple[str
     if not d or "</FRBRManifestation" in d[0]:
         return None, "no manifestation date"
     return f'{out[: d.end()]}<FRBRdate date="{when}" name="{profile.date_name}"/>{out[d.end() :]}', None
+
+
+_REF = re.compile(LEGISLATION_REF.replace(".", r"[^\n\r\x85\u2028\u2029]"))
+_REF_TAG = re.compile(r"<ref[^>]*>")
+_REF_VALUES = {name: re.compile(rf'[\s:]{name}="([^"]*)"') for name in ("href", "canonical")}
+_USE = re.compile(f"{NUMBERED}|{OBLIQUE}")
+_SECTION = re.compile(SECTION)
+
+
+def mentions(xml: str | None) -> list[dict]:
+    """(para, start, end, detected_leg, href, canonical, year) of refs to legislation, by paragraph."""
+    out = []
+    for k, (_, _, markup) in enumerate(paragraphs(xml)):
+        for m in _REF.finditer(markup) if 'type="legislation"' in markup else ():
+            tag = _REF_TAG.match(m[0])
+            values = {name: (v[1] or None) if tag and (v := p.search(tag[0])) else None for name, p in _REF_VALUES.items()}
+            text = re.sub("<[^>]+>", "", m[0])
+            year = re.search("[0-9]{4}", text)
+            out.append({"para": k, "start": m.start(), "end": m.end(), "detected_leg": text, **values, "year": year[0] if year else ""})
+    return out
+
+
+def uses(xml: str | None) -> list[dict]:
+    """(para, start, end, detected_ref, kind, year) of indirect mentions, by paragraph."""
+    out = []
+    for k, (_, _, markup) in enumerate(paragraphs(xml)):
+        for m in _USE.finditer(markup) if "Act" in markup else ():
+            year = re.search("[0-9]{4}", m[0])
+            out.append({"para": k, "start": m.start(), "end": m.end(), "detected_ref": m[0], "kind": "numbered_act" if year else "act", "year": year[0] if year else ""})
+    return out
+
+
+def sections(xml: str | None) -> list[dict]:
+    """(para, start, end, section, section_no), by paragraph."""
+    return [{"para": k, "start": m.start(), "end": m.end(), "section": m[0], "section_no": re.search("[0-9]+", m[0])[0]} for k, (_, _, markup) in enumerate(paragraphs(xml)) for m in _SECTION.finditer(markup)]

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Patterns of references in text.
-SECTION = r"([sS]ection\W*[0-9]+(?=)|[sS]ections\W*[0-9]+(?=)|\b[sS]+\W*[0-9]+(?=))(\W*\([0-9]+\))?"
-OBLIQUE = r"(the|this|that|The|This|That)\s(Act)"
-NUMBERED = r"(the|this|that|The|This|That)\s([0-9]{4})\s(Act)"
-LEGISLATION_REF = r'<ref(((?!ref>).)*)type="legislation"(.*?)ref>'
+from .patterns import LEGISLATION_REF, NUMBERED, OBLIQUE, SECTION  # noqa: F401 used by name from here
+
 YEAR = r"(?<![\w.])\d{4}(?!\w|\.\w|\.\.)"
 
 

@@ -55,10 +55,12 @@ def first_of_year(used: DataFrame, found: DataFrame) -> DataFrame:
     return used.join(firsts, ["uri", "year"]).where("m_para <= para").select("uri", "para", "start", "end", "detected_ref", "detected_leg", "href", "canonical", "m_para", "m_start")
 
 
-def resolved(paragraphs: DataFrame, used: list | None = None) -> DataFrame:
-    """All indirect mentions with the statute they mean. What both joins read is stored, so the paragraphs are searched once; these tables are added to ``used``."""
-    found = stored(mentions(paragraphs).where("href is not null"), "mentions")
-    asked = stored(uses(paragraphs), "uses")
-    if used is not None:
-        used += [found, asked]
-    return latest_before(asked.where("kind = 'act'"), found).unionByName(first_of_year(asked.where("kind = 'numbered_act'"), found))
+def resolved(paragraphs: DataFrame) -> DataFrame:
+    """All indirect mentions of paragraphs (uri, para_no, markup) with the statute they mean. What both joins read is stored, so the paragraphs are searched once."""
+    return meant(stored(uses(paragraphs), "uses"), stored(mentions(paragraphs), "mentions"))
+
+
+def meant(used: DataFrame, found: DataFrame) -> DataFrame:
+    """Indirect mentions with the statute they mean, of refs that have an address."""
+    found = found.where("href is not null")
+    return latest_before(used.where("kind = 'act'"), found).unionByName(first_of_year(used.where("kind = 'numbered_act'"), found))

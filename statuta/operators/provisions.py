@@ -63,10 +63,11 @@ def nearest(found: DataFrame, defs: DataFrame, strict: bool = False) -> DataFram
     return ranked.select("uri", "para", "start", "end", "section", "section_no", "d_para", "d_pos", S.sub_section_href(F.col("section_href"), F.col("section")).alias("section_href"), "section_canonical")
 
 
-def resolved(paragraphs: DataFrame, threshold: int = THRESHOLD, strict: bool = False, used: list | None = None) -> DataFrame:
-    """Sections with their statutes. The sections are stored, since they are read for the definitions and for the uses; the table is added to ``used``."""
-    found = stored(sections(paragraphs), "sections")
-    if used is not None:
-        used.append(found)
-    pairs = close_pairs(found, mentions(paragraphs).where("href is not null"), threshold)
-    return nearest(found, definitions(pairs), strict)
+def resolved(paragraphs: DataFrame, threshold: int = THRESHOLD, strict: bool = False) -> DataFrame:
+    """Sections of paragraphs (uri, para_no, markup) with their statutes. The sections are stored, since they are read for the definitions and for the uses."""
+    return meant(stored(sections(paragraphs), "sections"), mentions(paragraphs), threshold, strict)
+
+
+def meant(found: DataFrame, statutes: DataFrame, threshold: int = THRESHOLD, strict: bool = False) -> DataFrame:
+    """Sections with their statutes, of refs that have an address."""
+    return nearest(found, definitions(close_pairs(found, statutes.where("href is not null"), threshold)), strict)

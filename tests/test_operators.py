@@ -146,3 +146,14 @@ def test_enrichment_plan(spark):
     assert 'href="http://cases.example/uksc/2022/12"' in got and '<abbr title="Finance Act 2002" uk:origin="OWN">FA 2002</abbr>' in got
     assert 'href="h/section/5"' in got and ">the Act</ref>" in got
     assert out["no-stamp"].error == "no proprietary element"
+
+
+def test_batch_functions_find_what_the_column_expressions_find(spark):
+    from statuta.functions import markup
+
+    texts = [f"the Act; {REF.format(2000)} then the 2004 Act, Section 5(2) s. 7", '<ref uk:type="legislation">x <b>y</b> 1999</ref> sections 12, this Act', "none", "", "that  Act ss 4 <ref href='q' type=\"legislation\" canonical=\"\">\nz</ref>"]
+    p = paragraphs(spark, *[f"<p>{t}</p>" for t in texts])
+    xml = "".join(f"<p>{t}</p>" for t in texts)
+    for found, own in ((oblique.mentions(p), markup.mentions(xml)), (oblique.uses(p), markup.uses(xml)), (provisions.sections(p), markup.sections(xml))):
+        names = [c for c in found.columns if c != "uri"]
+        assert sorted(tuple(r[c] for c in names) for r in found.collect()) == sorted(tuple(x[c] for c in names) for x in own)

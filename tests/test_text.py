@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 import time
 import timeit
 
@@ -12,6 +13,7 @@ from statuta.functions import intervals as I
 from statuta.functions import markup as M
 from statuta.functions import text as T
 from statuta.functions import titles as N
+from statuta.operators import replacing
 from statuta.operators import rules as R
 
 
@@ -107,6 +109,7 @@ def edited(r, title, most):
 
 @pytest.mark.parametrize("cutoff", [70, 90, 97])
 def test_index_loses_no_pair(cutoff):
+    assert N.FEW < 200
     r = random.Random(cutoff)
     titles = sorted({" ".join(r.choice(LAW) for _ in range(r.randint(1, 6))) + r.choice((" Act 1998", " Act 1998", " Act 1998 (short)")) for _ in range(300)})
     index, every = N.NearTitles(titles, cutoff, 5), [T.Likeness(t, cutoff, 5) for t in titles]
@@ -221,3 +224,28 @@ def test_body_text_and_paragraphs():
 
 def test_canonical_equality():
     assert M.equal_xml('<a b="1"  c="2"/>', '<a c="2" b="1"></a>')
+
+
+def test_paragraphs_are_those_of_the_markup():
+    xml = '<d><!-- <p>no</p> --><p a="1 > 0">one<p>two <b>x</b></p><![CDATA[</p>]]></p><?x <p> ?><p/><pre>no</pre><p>new <!-- </p> --> tail</p ></d>'
+    found = M.paragraphs(xml)
+    assert [m for *_, m in found] == ['<p a="1 > 0">one<p>two <b>x</b></p><![CDATA[</p>]]></p>', "<p>two <b>x</b></p>", "<p/>", "<p>new <!-- </p> --> tail</p >"]
+    assert all(xml[a:b] == m for a, b, m in found) and M.paragraphs(None) == []
+    assert [m for *_, m in M.paragraphs("<p/><p>a<br><p>b</p> <p>c</p><p>d")] == ["<p/>", "<p>a<br><p>b</p>", "<p>c</p>"]
+
+
+def test_splices_keep_the_rest_byte_for_byte():
+    xml = '<d>é<!-- the Act --><p a="the Act > x">one the Act <p>two the Act</p><![CDATA[the Act]]></p><p>new <!-- the Act </p> --> the Act</p></d>'
+    edits = [{"para": u["para"], "start": u["start"], "end": u["end"], "tag": "[T]"} for u in M.uses(xml)]
+    assert len(edits) == 7
+    want = xml.replace("one the Act", "one [T]").replace("two the Act", "two [T]").replace("--> the Act</p></d>", "--> [T]</p></d>")
+    assert replacing.resplice(xml, edits) == want and replacing.resplice(xml, None) == xml
+
+
+def test_mentions_are_spliced_leftmost_and_longest_first():
+    r = random.Random(8)
+    for _ in range(300):
+        mentions = {"".join(r.choice("ab ") for _ in range(r.randint(1, 4))): f"[{k}]" for k in range(5)}
+        text = "".join(r.choice("ab ") for _ in range(60))
+        pattern = re.compile("|".join(re.escape(m) for m in sorted(mentions, key=lambda m: (-len(m), m))))
+        assert M.splice_all(f"<p>{text}</p>", list(mentions.items())) == f"<p>{pattern.sub(lambda m, of=mentions: of[m[0]], text)}</p>"
