@@ -179,6 +179,13 @@ def halved(over: np.ndarray, planes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return over + np.maximum(c.astype(np.int64) - PLANES, 0).sum(1), np.ascontiguousarray(out).reshape(n, -1).view(np.uint64)
 
 
+def _folded_to(over: np.ndarray, planes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Folded rows, folded until they have 2 ** bits buckets."""
+    while planes.shape[1] * 64 > PLANES << bits:
+        over, planes = halved(over, planes)
+    return over, planes
+
+
 def rows_of(folds: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(over, planes) of folded rows of equal length."""
     r = np.frombuffer(b"".join(folds), np.uint64).reshape(len(folds), -1)
@@ -455,11 +462,13 @@ def _links(rows: DataFrame, found: DataFrame, classes: DataFrame, columns: DataF
     # then: what shares a column shares its centre, so the rest is found among each centre's
     # members in different components, by products of blocks of their folded rows
     of_columns = ranked.join(centre, "col").select("col", F.col("c.node").alias("c"), "node", "size").where("c <> node")
-    by_size = Window.partitionBy("col").orderBy("size", "node")
-    # in size order, who has any partner of fitting size in a column has a neighbour of fitting size
-    near = (F.lag("size").over(by_size) * den >= F.col("size") * num, F.col("size") * den >= F.lead("size").over(by_size) * num)
-    members = of_columns.withColumn("near", F.coalesce(near[0], F.lit(False)) | F.coalesce(near[1], F.lit(False)))
-    members = stored(members.where("near").select("c", "node", "size").distinct(), "ngram-members")
+    # in size order, who has any partner of fitting size in a column has a neighbour of fitting size, so a
+    # column's sizes are put in order, not its members
+    by_size = Window.partitionBy("col").orderBy("size")
+    near = (F.col("n") > 1, F.lag("size").over(by_size) * den >= F.col("size") * num, F.col("size") * den >= F.lead("size").over(by_size) * num)
+    sizes = of_columns.groupBy("col", "size").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("near", functools.reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in near])).where("near").select("col", "size")
+    members = stored(of_columns.join(sizes, ["col", "size"], "left_semi").select("c", "node", "size").distinct(), "ngram-members")
     discard(ranked, likely)
     folds = stored(folds_of(members.select("node").distinct()).drop("size"), "ngram-folds")
     open_, partners = members, PARTNERS
@@ -539,14 +548,13 @@ def product(part: np.ndarray, size: np.ndarray, right: np.ndarray | None, folds:
         k = int(bits[i])
         over, planes = rows[k][0][i - first[k]], rows[k][1][i - first[k]]
         most = np.empty(len(j), np.int64)
-        for m in (k, k + 1):  # sizes that fit are of the same number of buckets or of twice as many
+        for m in np.unique(bits[j]).tolist():  # down to 1/2 the same number of buckets or twice as many, below more
             at = np.flatnonzero(bits[j] == m)
-            if not len(at):
-                continue
-            if m > k and m not in smaller:
-                chunks = [halved(rows[m][0][x : x + 256], rows[m][1][x : x + 256]) for x in range(0, len(rows[m][0]), 256)]
-                smaller[m] = tuple(np.concatenate(x) for x in zip(*chunks, strict=True))
-            there = rows[m] if m == k else smaller[m]
+            if m > k and (m, k) not in smaller:
+                finer = smaller.get((m, k + 1), rows[m])
+                chunks = [_folded_to(finer[0][x : x + 256], finer[1][x : x + 256], k) for x in range(0, len(finer[0]), 256)]
+                smaller[m, k] = tuple(np.concatenate(x) for x in zip(*chunks, strict=True))
+            there = rows[m] if m == k else smaller[m, k]
             o = j[at] - first[m]
             for x in range(0, len(o), 4096):
                 most[at[x : x + 4096]] = np.bitwise_count(there[1][o[x : x + 4096]] & planes).sum(1, dtype=np.int64)
