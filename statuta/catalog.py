@@ -321,8 +321,8 @@ def oblique_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(P + _M + " select u.uri, para_no as para, concat('the ', u.act_year, ' Act') as detected_ref, detected_leg, href, m_para from p u join m on m.uri = u.uri and m.act_year = u.act_year and m_para <= para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para) = 1")
 def oblique_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
-    return oblique.first_of_year(oblique.uses(p).where("kind = 'numbered_act'"), oblique.mentions(p)).select("uri", "para", "detected_ref", "detected_leg", "href", "m_para")
+    used, found = oblique.both(corpus.paragraphs(spark, sf_dir))
+    return oblique.first_of_year(used.where("kind = 'numbered_act'"), found).select("uri", "para", "detected_ref", "detected_leg", "href", "m_para")
 
 
 @query(P + " select uri, para_no as para, concat('section ', sec, '(', line, ')') as section, sec as section_no, cast(strpos(markup, '<ref') - strpos(markup, 'section ') - length(concat('section ', sec, '(', line, ')')) as int) as gap, concat('http://statutes.example/', act_year, '/1/section/', sec) as section_href, concat(act_year, ' c. 1 s. ', sec) as section_canonical from p where kind = 0")

@@ -40,6 +40,18 @@ def test_spans_are_where_the_pattern_is(spark):
     assert [x.text for x in marked] == ["the Act"]
 
 
+def test_paragraphs_are_searched_once(spark, monkeypatch):
+    """Uses and mentions come from one pass whose spans are stored."""
+    names, store = [], oblique.stored
+    monkeypatch.setattr(oblique, "stored", lambda df, name: names.append((name, df.columns)) or store(df, name))
+    df = paragraphs(spark)
+    used, found = oblique.both(df)
+    assert names == [("spans", ["uri", "para", "side", "s"])]
+    assert rows(used) == rows(oblique.uses(df)) != [] and rows(found) == rows(oblique.mentions(df)) != []
+    oblique.resolved(df)
+    assert [n for n, _ in names] == ["spans", "spans"]
+
+
 def test_second_splice_only_splices(spark):
     """What the splice doesn't give isn't searched for."""
     docs = spark.createDataFrame([("a", "<d><p>the Act</p></d>"), ("b", "<d><p>x</p></d>")], "uri string, xml string")
