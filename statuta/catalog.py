@@ -315,8 +315,8 @@ _M = ", m as (select uri, para_no as m_para, concat('Finance Act ', act_year) as
 
 @query(P + _M + " select u.uri, para_no as para, cast(strpos(markup, 'the Act') - 1 as int) as start, detected_leg, href, m_para from p u join m on m.uri = u.uri and m_para < para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para desc) = 1")
 def oblique_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
-    return oblique.latest_before(oblique.uses(p).where("kind = 'act'"), oblique.mentions(p)).select("uri", "para", "start", "detected_leg", "href", "m_para")
+    used, found = oblique.both(corpus.paragraphs(spark, sf_dir))
+    return oblique.latest_before(used.where("kind = 'act'"), found).select("uri", "para", "start", "detected_leg", "href", "m_para")
 
 
 @query(P + _M + " select u.uri, para_no as para, concat('the ', u.act_year, ' Act') as detected_ref, detected_leg, href, m_para from p u join m on m.uri = u.uri and m.act_year = u.act_year and m_para <= para_no where kind = 1 qualify row_number() over (partition by u.uri, para_no order by m_para) = 1")
