@@ -2,28 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import spans as P
 from ..session import stored
-from .oblique import mentions
+from .oblique import SPANS, mentions_of
 
 THRESHOLD = 30
 
 
 def sections(paragraphs: DataFrame) -> DataFrame:
     """(uri, para, start, end, section, section_no) of paragraphs (uri, para_no, markup)."""
-    s = paragraphs.select("uri", F.col("para_no").alias("para"), F.explode(P.spans(F.col("markup"), P.SECTION)).alias("s"))
+    s = paragraphs.select("uri", F.col("para_no").alias("para"), F.explode(P.sections(F.col("markup"))).alias("s"))
     return s.select("uri", "para", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("section"), S.section_number(F.col("s.text")).alias("section_no"))
 
 
 def close_pairs(found: DataFrame, statutes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Band join: sections and statutes of one paragraph fewer than threshold characters apart (0 where they overlap)."""
     m = statutes.select("uri", "para", F.col("start").alias("m_start"), F.col("end").alias("m_end"), "detected_leg", "href", "canonical")
-    gap = F.greatest(F.lit(0), F.col("start") - F.col("m_end")) + F.greatest(F.lit(0), F.col("m_start") - F.col("end"))
-    return found.join(m, ["uri", "para"]).withColumn("gap", gap).where(F.col("gap") < threshold)
+    return found.join(m, ["uri", "para"]).withColumn("gap", _gap("start", "end", "m_start", "m_end")).where(F.col("gap") < threshold)
+
+
+def _gap(start: Column | str, end: Column | str, m_start: Column | str, m_end: Column | str) -> Column:
+    start, end, m_start, m_end = (F.col(c) if isinstance(c, str) else c for c in (start, end, m_start, m_end))
+    return F.greatest(F.lit(0), start - m_end) + F.greatest(F.lit(0), m_start - end)
+
+
+def beside(paragraphs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``sections`` of paragraphs, with the spans of the refs fewer than threshold characters apart in column near: the band join of what stands in one row, which shuffles nothing."""
+    m = F.col("markup")
+    both = paragraphs.select("uri", F.col("para_no").alias("para"), P.sections(m).alias("found"), F.coalesce(P.refs(m), F.array().cast(SPANS)).alias("refs"))
+    close = lambda s: F.filter("refs", lambda r: _gap(s["start"], s["end"], r["start"], r["end"]) < threshold)
+    s = both.select("uri", "para", F.explode(F.transform("found", lambda s: F.struct(s.alias("s"), close(s).alias("near")))).alias("one")).select("uri", "para", "one.*")
+    return s.select("uri", "para", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("section"), S.section_number(F.col("s.text")).alias("section_no"), "near")
+
+
+def pairs(found: DataFrame) -> DataFrame:
+    """``close_pairs`` of sections with the refs beside them."""
+    s = found.select("uri", "para", F.explode("near").alias("s"), F.struct("start", "end", "section", "section_no").alias("found"))
+    m = mentions_of(s, "found").withColumnsRenamed({"start": "m_start", "end": "m_end"}).select("uri", "para", "found.*", "m_start", "m_end", "detected_leg", "href", "canonical")
+    return m.withColumn("gap", _gap("start", "end", "m_start", "m_end"))
+
+
+def paired(paragraphs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``close_pairs`` of paragraphs (uri, para_no, markup), of which those without a ref aren't searched."""
+    return pairs(beside(paragraphs.where(P.has_ref(F.col("markup"))), threshold))
 
 
 def definitions(pairs: DataFrame) -> DataFrame:
@@ -64,8 +89,9 @@ def nearest(found: DataFrame, defs: DataFrame, strict: bool = False) -> DataFram
 
 
 def resolved(paragraphs: DataFrame, threshold: int = THRESHOLD, strict: bool = False) -> DataFrame:
-    """Sections of paragraphs (uri, para_no, markup) with their statutes. The sections are stored, since they are read for the definitions and for the uses."""
-    return meant(stored(sections(paragraphs), "sections"), mentions(paragraphs), threshold, strict)
+    """Sections of paragraphs (uri, para_no, markup) with their statutes. The sections are stored with the refs beside them, since they are read for the definitions and for the uses; the paragraphs are read once."""
+    found = stored(beside(paragraphs, threshold), "sections")
+    return nearest(found.drop("near"), definitions(pairs(found).where("href is not null")), strict)
 
 
 def meant(found: DataFrame, statutes: DataFrame, threshold: int = THRESHOLD, strict: bool = False) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from statuta.functions import spans as P
-from statuta.operators import oblique, replacing
+from statuta.operators import oblique, provisions, replacing
 
 REF = '<ref href="h/{0}" uk:canonical="{0} c. 1" uk:type="legislation">Finance Act {0}</ref>'
 MARKUP = [
@@ -52,6 +52,18 @@ def test_paragraphs_are_searched_once(spark, monkeypatch):
     assert [n for n, _ in names] == ["spans", "spans"]
 
 
+def test_statutes_beside_sections_need_no_shuffle(spark):
+    df = paragraphs(spark)
+    for threshold in (1, 30, 1000):
+        joined = provisions.close_pairs(provisions.sections(df), oblique.mentions(df), threshold)
+        made = provisions.paired(df, threshold)
+        assert "Exchange" not in plan(made) and "Join" not in plan(made)
+        assert rows(made.select(*joined.columns)) == rows(joined)
+        whole = provisions.meant(provisions.sections(df), oblique.mentions(df), threshold)
+        assert rows(provisions.resolved(df, threshold)) == rows(whole)
+    assert made.count() > 4
+
+
 def test_second_splice_only_splices(spark):
     """What the splice doesn't give isn't searched for."""
     docs = spark.createDataFrame([("a", "<d><p>the Act</p></d>"), ("b", "<d><p>x</p></d>")], "uri string, xml string")
