@@ -527,8 +527,7 @@ def citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(P + " select distinct concat('http://statutes.example/', act_year, '/1/section/', sec) as dst, concat('http://statutes.example/', act_year, '/1') as parent from p where kind = 0")
 def section_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
-    defs = provisions.definitions(provisions.close_pairs(provisions.sections(p), oblique.mentions(p)))
+    defs = provisions.definitions(provisions.paired(corpus.paragraphs(spark, sf_dir)))
     return graph.parents(defs.select(F.col("section_href").alias("dst")))
 
 
