@@ -327,8 +327,7 @@ def oblique_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(P + " select uri, para_no as para, concat('section ', sec, '(', line, ')') as section, sec as section_no, cast(strpos(markup, '<ref') - strpos(markup, 'section ') - length(concat('section ', sec, '(', line, ')')) as int) as gap, concat('http://statutes.example/', act_year, '/1/section/', sec) as section_href, concat(act_year, ' c. 1 s. ', sec) as section_canonical from p where kind = 0")
 def provision_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
-    pairs = provisions.close_pairs(provisions.sections(p), oblique.mentions(p))
+    pairs = provisions.paired(corpus.paragraphs(spark, sf_dir))
     return pairs.select("uri", "para", "section", "section_no", "gap", S.section_href(F.col("href"), F.col("section_no")).alias("section_href"), S.section_canonical(F.col("canonical"), F.col("section_no")).alias("section_canonical"))
 
 
@@ -548,7 +547,7 @@ def rule_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Citations, sections and volumes of statutes, and what follows from them by the rules."""
     p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
     cases = caselaw.citations(p.where("kind = 0").select("uri", F.regexp_replace("markup", "<[^>]+>", "").alias("text")), manifest(spark))
-    pairs = provisions.close_pairs(provisions.sections(p), oblique.mentions(p))
+    pairs = provisions.paired(p)
     sections = stored(provisions.definitions(pairs).select("uri", "section_href", "href"), "sections")
     cites = graph.edges((cases, "case_uri"), (sections, "section_href")).select(F.col("src").alias("s"), F.lit("cites").alias("p"), F.col("dst").alias("o"))
     part_of = graph.parents(sections.select(F.col("section_href").alias("dst")))
