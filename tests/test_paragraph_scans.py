@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from statuta.functions import markup
 from statuta.functions import spans as P
 from statuta.operators import oblique, provisions, replacing
 
@@ -71,3 +72,11 @@ def test_second_splice_only_splices(spark):
     made = replacing.splice_second_stage(docs, edits)
     assert "mentions" not in plan(made)
     assert rows(made) == rows(replacing.spliced_at(docs, edits).select("uri", "xml")) != []
+
+
+def test_texts_without_refs_are_not_cut(monkeypatch):
+    """Clean-up walks the tags of texts with refs only, and keeps to what it does with tags cut off or hidden."""
+    texts = {"<p>a</p><ref a": "<p>a</p>", "x<ref a": "x<ref a", "</ref>": "</ref>", "<!-- <ref> --><ref>b</ref>": "<!-- <ref> -->b", "<ref><ref origin='x'>c</ref></ref><ref/>": "<ref origin='x'>c</ref>", '<a t="<ref>"><reference>': '<a t="<ref>"><reference>'}
+    assert {t: markup.sanitise(t) for t in texts} == texts
+    monkeypatch.setattr(markup, "_PIECES", None)
+    assert markup.sanitise('<p>x</p><FRBRdate name="enriched"/><uk:enrichment-engine>0</uk:enrichment-engine>') == "<p>x</p>"
