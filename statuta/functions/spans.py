@@ -14,31 +14,38 @@ YEAR = r"(?<![\w.])\d{4}(?!\w|\.\w|\.\.)"
 _MARK = "\uffff"
 
 
+#: A list of spans.
+_SPANS = "array<struct<start:int,end:int,text:string>>"
+
+
 def spans(text: Column, pattern: str, first: str = "") -> Column:
     """All matches of a pattern without empty ones, in order, with their code-point offsets.
 
-    The text's pieces between matches and the matches themselves are laid end
-    to end; running lengths are the offsets. The pattern's classes (\\W, \\s)
-    are Unicode's. first: a class that every match's first character is of, by
-    which other places are passed over. Matches are marked and the text is cut
-    at the marks: a split at the pattern would compile it for every text, which
-    only texts that hold the mark need.
+    The pattern's classes (\\W, \\s) are Unicode's. first: a class that every
+    match's first character is of, by which other places are passed over.
+    Matches are set between marks and the text is cut at the marks, so that it
+    is searched once; texts that hold the mark are cut at the pattern instead.
+    The pieces, matches at every second place, are laid end to end: running
+    lengths are the offsets. No match and a single one, which most texts have,
+    need no fold.
     """
     pattern = f"(?U)(?={first})(?:{pattern})" if first else f"(?U)(?:{pattern})"
-    hits = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    marked = F.split(F.regexp_replace(text, pattern, _MARK), _MARK, -1)
-    gaps = F.transform(F.when(text.contains(_MARK), F.split(text, pattern, -1)).otherwise(marked), lambda x: F.length(x))
-    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["hit"])
-        more = F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("text")))).alias("out"))
-        return F.when(x["hit"].isNull(), acc).otherwise(more)  # the last piece has no match after it
-
-    folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.isNull(), none).otherwise(folded)
+    cut = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    held = F.filter(F.flatten(F.zip_with(gaps, hits, lambda gap, hit: F.array(gap, hit))), lambda x: x.isNotNull())
+    pieces = F.when(text.contains(_MARK), held).otherwise(cut)
+    none = F.array().cast(_SPANS)
+    span = lambda start, piece: F.struct(start.alias("start"), (start + F.length(piece)).alias("end"), piece.alias("text"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        out = F.when(acc["hit"], F.concat(acc["out"], F.array(span(acc["at"], piece)))).otherwise(acc["out"])
+        return F.struct((acc["at"] + F.length(piece)).alias("at"), (~acc["hit"]).alias("hit"), out.alias("out"))
+
+    def laid(p: Column) -> Column:
+        many = F.aggregate(p, F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("out")), step, lambda acc: acc["out"])
+        return F.when(p.isNull() | (F.size(p) == 1), none).when(F.size(p) == 3, F.array(span(F.length(p[0]), p[1]))).otherwise(many)
+
+    return F.transform(F.array(pieces), laid)[0]
 
 
 def has_ref(markup: Column) -> Column:
