@@ -533,6 +533,7 @@ def section_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CITES = """select distinct uri as s, 'cites' as p, concat('http://statutes.example/', act_year, '/1/section/', sec) as o from p where kind = 0
  union select uri, 'cites', concat('http://cases.example/uksc/', case_year, '/', part) from p where kind = 0
+ union select uri, 'cites', concat('http://cases.example/ewhc/ch/', case_year, '/', part) from p where kind = 1
  union select concat('http://statutes.example/', act_year, '/1/section/', sec), 'partOf', concat('http://statutes.example/', act_year, '/1') from p where kind = 0
  union select concat('http://statutes.example/', act_year, '/1'), 'partOf', concat('http://statutes.example/', act_year) from p where kind = 0"""
 
@@ -547,7 +548,7 @@ _CITES = """select distinct uri as s, 'cites' as p, concat('http://statutes.exam
 def rule_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Citations, sections and volumes of statutes, and what follows from them by the rules."""
     p = stored(corpus.paragraphs(spark, sf_dir), "paragraphs")
-    cases = caselaw.citations(p.where("kind = 0").select("uri", F.regexp_replace("markup", "<[^>]+>", "").alias("text")), manifest(spark))
+    cases = caselaw.citations(p.select("uri", F.regexp_replace("markup", "<[^>]+>", "").alias("text")), manifest(spark))
     pairs = provisions.paired(p)
     sections = stored(provisions.definitions(pairs).select("uri", "section_href", "href"), "sections")
     cites = graph.edges((cases, "case_uri"), (sections, "section_href")).select(F.col("src").alias("s"), F.lit("cites").alias("p"), F.col("dst").alias("o"))

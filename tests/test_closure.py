@@ -1,5 +1,8 @@
 """The closure of hierarchies deeper than a recursive query goes, and of cycles."""
 
+from pyspark.sql import functions as F
+
+from statuta import catalog
 from statuta.operators import graph
 
 
@@ -27,3 +30,13 @@ def test_cycles_and_short_cuts(spark):
 
 def test_no_links(spark):
     assert _closure(spark, [("a", "other", "b")]) == {}
+
+
+def test_rules_see_the_citations_of_all_paragraphs(spark):
+    """Every address that some paragraph cites is in the closure, whatever the paragraph's kind."""
+    sf = "/root/testdata/sf0.001"
+    cited = catalog.caselaw_citations(spark, sf).where("case_uri <> '#'").select(F.split("uri", "#")[0].alias("s"), F.col("case_uri").alias("o"))
+    held = catalog.rule_closure(spark, sf).where("p = 'cites' and o not like '%/section/%'").select("s", "o")
+    want = set(map(tuple, cited.collect()))
+    assert {o.split("/")[3] for _, o in want} == {"uksc", "ewhc"}
+    assert set(map(tuple, held.collect())) == want
